@@ -1,7 +1,9 @@
 """Column expressions; everything here stays inside generated JVM code."""
 
 from .columns import (
+    amount,
     calendar_columns,
+    cents,
     date_key,
     exact_sum,
     hours_in,
@@ -11,15 +13,16 @@ from .columns import (
     mapped,
     mask_email,
     mean_half_up,
-    money,
-    net_amount,
+    net_cents,
     padded_id,
     plus_seconds,
     seconds_between,
 )
 
 __all__ = [
+    "amount",
     "calendar_columns",
+    "cents",
     "date_key",
     "exact_sum",
     "hours_in",
@@ -29,8 +32,7 @@ __all__ = [
     "mapped",
     "mask_email",
     "mean_half_up",
-    "money",
-    "net_amount",
+    "net_cents",
     "padded_id",
     "plus_seconds",
     "seconds_between",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedup import latest_per_key
-from .joins import spread_join
+from .joins import hot_keys, spread_join
 
 
 def point_in_time_join(
@@ -88,7 +88,8 @@ def point_in_time_join(
         seen.alias("feature_time"),
         *[F.col(f"_f.{c}").alias(c) for c in values],
     )
-    return spread_join(labels, found, [*keys, label_time], how)
+    (hot,) = hot_keys(labels, [[*keys, label_time]])
+    return spread_join(labels, found, [*keys, label_time], how, hot)
 
 
 def features_as_of(

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import money
+from ..functions import exact_sum
 
 HOT_SHARE = 0.01  # a key is hot from this share of all rows on
+BROADCAST_ROWS = 100_000  # a side up to this many (narrow) rows is sent to every executor
 
 
 def hot_keys(
@@ -52,25 +53,44 @@ def _all_set(cols: Sequence[str]) -> Column:
     return known
 
 
+def small_ones(frames: Sequence[DataFrame], rows: int = BROADCAST_ROWS) -> list[bool]:
+    """Which frames have at most ``rows`` rows, counted in one job.
+
+    On a plain Parquet table the count comes from the file footers.
+    """
+    counts = None
+    for i, df in enumerate(frames):
+        one = df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    found = {row["i"]: row["n"] for row in counts.collect()} if frames else {}  # one row per frame
+    return [found[i] <= rows for i in range(len(frames))]
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
     hot: Mapping[int | None, int] | None = None,
+    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Equi-join of many ``left`` rows to a ``right`` side that is unique on ``on``.
 
-    Hot left keys are salted and only their right rows are repeated, once per salt: at most
-    (shuffle partitions + number of hot keys) extra right rows in all. Many left rows with a NULL
-    key match nothing, so they are salted too and do not pile up in one task. The salt is a hash
-    of the row and so the same after a retry. Without hot keys this is a plain join.
+    A right side of at most ``rows`` rows is broadcast and ``left`` stays where it is. A bigger
+    one is joined by shuffle: hot left keys are salted and only their right rows are repeated,
+    once per salt, at most (shuffle partitions + number of hot keys) extra right rows in all.
+    Left rows with a NULL key match nothing, so many of them are salted too and do not pile up in
+    one task. The salt is a hash of the row and so the same after a retry. Without hot keys this
+    is a plain join. With ``hot`` given, neither size nor keys are looked at.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
+    out = left.columns + [c for c in right.columns if c not in on]
     if hot is None:
+        (small,) = small_ones([right], rows)
+        if small:
+            return left.join(F.broadcast(right), list(on), how).select(*out)
         (hot,) = hot_keys(left, [list(on)])
-    out = left.columns + [c for c in right.columns if c not in on]
     named = {item: splits for item, splits in hot.items() if item is not None}
     if not named and (how == "inner" or None not in hot):
         return left.join(right, list(on), how).select(*out)
@@ -86,15 +106,26 @@ def spread_join(
 
 
 def star_join(
-    fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, Sequence[str]]], how: str = "left"
+    fact: DataFrame,
+    lookups: Sequence[tuple[DataFrame, str, Sequence[str]]],
+    how: str = "left",
+    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach columns of several dimensions: ``(dimension, key, columns)`` each.
 
-    Hot keys of all dimensions are found in one pass over the fact table.
+    One job counts the dimensions; small ones are broadcast. The hot keys of all others are found
+    in one pass over the fact table.
     """
-    hot = hot_keys(fact, [[key] for _, key, _ in lookups])
-    for (dim, key, cols), found in zip(lookups, hot):
-        fact = spread_join(fact, dim.select(key, *cols), [key], how, found)
+    small = small_ones([dim for dim, _, _ in lookups], rows)
+    big_keys = [key for (_, key, _), s in zip(lookups, small) if not s]
+    hot = iter(hot_keys(fact, [[k] for k in big_keys]) if big_keys else [])
+    for (dim, key, cols), is_small in zip(lookups, small):
+        dim = dim.select(key, *cols)
+        if is_small:
+            out = fact.columns + list(cols)
+            fact = fact.join(F.broadcast(dim), key, how).select(*out)
+        else:
+            fact = spread_join(fact, dim, [key], how, next(hot))
     return fact
 
 
@@ -103,22 +134,16 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], how: s
     return star_join(fact, [(dim, on, cols)], how)
 
 
-def order_totals(
-    items: DataFrame, key: str, amount: str, places: int | None = 1, scale: int = 2
-) -> DataFrame:
-    """Line count and summed amount per order. ``places=None`` keeps the unrounded DECIMAL."""
-    total = F.sum(money(amount, scale))
-    if places is not None:
-        total = F.round(total, places).cast("double")
+def order_totals(items: DataFrame, key: str, amount_col: str, places: int = 1) -> DataFrame:
+    """Line count and summed amount per order; the lines of one order shrink before the shuffle."""
+    total = exact_sum(amount_col, places)
     return items.groupBy(key).agg(F.count(F.lit(1)).alias("item_count"), total.alias("order_net_amount"))
 
 
-def zero_filled_totals(base: DataFrame, items: DataFrame, key: str, amount: str, out: str) -> DataFrame:
+def zero_filled_totals(base: DataFrame, items: DataFrame, key: str, amount_col: str, out: str) -> DataFrame:
     """Summed amount per base row, 0 where there are no lines."""
-    totals = items.groupBy(key).agg(F.sum(money(amount)).alias("_total"))
-    joined = base.join(totals, key, "left")
-    filled = F.coalesce(F.round("_total", 1).cast("double"), F.lit(0.0))
-    return joined.withColumn(out, filled).drop("_total")
+    totals = items.groupBy(key).agg(exact_sum(amount_col).alias(out))
+    return base.join(totals, key, "left").fillna({out: 0.0})
 
 
 def orphans(fact: DataFrame, source: DataFrame, fact_id: str, key: str, source_ref: str) -> DataFrame:

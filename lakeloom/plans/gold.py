@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_columns, date_key, mask_email, mean_half_up, money
+from ..functions import calendar_columns, cents, date_key, mask_email, mean_half_up
 from ..operators.dedup import latest_attrs
-from ..operators.joins import hot_keys, lookup, order_totals, spread_join, star_join
+from ..operators.joins import lookup, order_totals, spread_join, star_join
 from ..operators.ordering import dense_key
 from .layers import Tables
 
@@ -95,9 +95,8 @@ def fact_orders(orders: DataFrame, items: DataFrame, customers: DataFrame, store
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order line that has an order."""
     days = orders.select("order_id", date_key("order_date").alias("order_date_key"))
-    by_order, by_product = hot_keys(items, [["order_id"], ["product_id"]])
-    dated = spread_join(items, days, ["order_id"], "inner", by_order)
-    keyed = spread_join(dated, products.select("product_id", "product_key"), ["product_id"], "left", by_product)
+    keyed = star_join(items, [(products, "product_id", ["product_key"])])
+    keyed = spread_join(keyed, days, ["order_id"], "inner")
     return keyed.select(
         "order_item_id",
         "order_id",
@@ -186,7 +185,7 @@ def customer_features(
 
     # Lines shrink to one row per (customer, order, category) before any wider grouping.
     cells = lines.groupBy("customer_id", "order_id", "category").agg(
-        F.sum(money("line_amount")).alias("amount"), F.count("_listed").alias("listed")
+        F.sum(cents("line_amount")).alias("amount"), F.count("_listed").alias("listed")
     )
     per_order = cells.groupBy("customer_id", "order_id").agg(
         F.sum("amount").alias("total"), F.sum("listed").alias("listed")
@@ -197,7 +196,7 @@ def customer_features(
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
-            F.sum((F.col("total") * weight).cast("decimal(38,2)")).alias("weighted"),
+            F.sum(F.col("total") * weight).alias("weighted"),
             F.sum(weight).alias("weight"),
         )
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import money
+from ..functions import exact_sum
 from ..operators.ordering import rolling_count
 from ..plans import views
 from . import raw
@@ -26,7 +26,7 @@ def day_features(spark, d):
     day = F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
     stamp = F.col("day") + F.expr("INTERVAL 1 DAY")
     sums = rows.groupBy("user_id", day.alias("day")).agg(
-        F.count(F.lit(1)).alias("f_events"), F.sum(money("value")).cast("double").alias("f_value")
+        F.count(F.lit(1)).alias("f_events"), exact_sum("value", 2).alias("f_value")
     )
     return sums.select(
         "user_id",

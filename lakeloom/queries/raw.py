@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import mapped, net_amount, money, plus_seconds
+from ..functions import amount, cents, mapped, net_cents, plus_seconds
 from ..operators.inject import absent_before, inject_burst, inject_copies, inject_late, inject_nulls, inject_skew
 from ..plans.payments import attempts, payment_base
 
@@ -119,8 +119,8 @@ def raw_items(spark: SparkSession, d: str) -> DataFrame:
         F.when(line % 4 == 1, "S").when(line % 4 == 2, "M").when(line % 4 == 3, "L").alias("size"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         price.alias("unit_price"),
-        F.round(money(price, 4) * money(part_off, 4), 2).cast("double").alias("discount_amount"),
-        net_amount(price, part_off).cast("double").alias("line_amount"),
+        amount(cents(price) - net_cents(price, part_off)).alias("discount_amount"),
+        amount(net_cents(price, part_off)).alias("line_amount"),
         F.col("l_shipdate").alias("created_ts"),
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import money
+from ..functions import exact_sum
 from ..operators.dedup import latest_per_key
 from ..session import scratch
 from ..sources.messages import decode_json
@@ -54,7 +54,7 @@ def _upserted(spark, stream, keys, name):
 
 def stream_tumbling(spark, d):
     """Revenue and events per store and hour."""
-    sums = [F.count(F.lit(1)).alias("events"), F.sum(money("price")).cast("double").alias("revenue")]
+    sums = [F.count(F.lit(1)).alias("events"), exact_sum("price", 2).alias("revenue")]
     stream = tumbling(_event_stream(spark, d), "event_timestamp", "1 hour", ["store_id"], sums, LATENESS)
     rows = _upserted(spark, stream, ["window_start", "store_id"], "store-hours")
     return _plain_times(rows, "window_start", "window_end")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import iso_seconds
 from ..operators.ordering import write_order
@@ -29,13 +29,20 @@ def decode_json(df: DataFrame, col: str, schema: StructType) -> tuple[DataFrame,
     batch and streaming frames.
     """
     lines = df.filter(F.length(F.trim(col)) > 0)
-    readable = F.coalesce(
-        F.schema_of_variant(F.try_parse_json(col)).startswith("OBJECT"), F.lit(False)
-    )
-    options = {"mode": "PERMISSIVE", "timestampFormat": ISO, "timestampNTZFormat": ISO}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_corrupt",
+        "timestampFormat": ISO,
+        "timestampNTZFormat": ISO,
+    }
+    marked = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = lines.withColumn("_v", F.from_json(col, marked, options))
+    # Only lines that did not parse cleanly are parsed again, to tell a wrong field from a broken line.
+    broken = F.col("_v._corrupt").isNotNull() & F.try_parse_json(col).isNull()
+    readable = F.ltrim(col).startswith("{") & ~broken
     others = [c for c in df.columns if c != col]
-    good = lines.filter(readable).select(*others, F.from_json(col, schema, options).alias("_v"))
-    return good.select(*others, "_v.*"), lines.filter(~readable)
+    fields = [F.col(f"_v.{f.name}").alias(f.name) for f in schema.fields]
+    return parsed.filter(readable).select(*others, *fields), parsed.filter(~readable).select(*df.columns)
 
 
 def to_messages(

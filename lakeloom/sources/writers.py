@@ -12,8 +12,19 @@ from ..operators.ordering import write_order
 from .messages import encode_json
 
 
+def gathered(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows of one output folder together, so that not every task writes a file into every folder.
+
+    A rebalance, not a repartition: adaptive execution splits a folder that holds much of the
+    table and merges small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> int:
     """Write Parquet and return the number of rows, counted during the write."""
+    if partition_by:
+        df = gathered(df, *partition_by)
     df, seen = counted(df, "written")
     writer = df.write.mode(mode)
     if partition_by:
@@ -46,7 +57,7 @@ def write_monthly(df: DataFrame, date_col: str, path: str, launch: str, late_col
     early = df.filter(month < launch[:7]).drop(*late_cols)
     late = df.filter(month >= launch[:7])
     for part in (early, late):
-        part.withColumn("ym", month).write.mode("append").partitionBy("ym").parquet(path)
+        gathered(part.withColumn("ym", month), "ym").write.mode("append").partitionBy("ym").parquet(path)
 
 
 def write_ndjson(df: DataFrame, path: str, time_cols: Sequence[str], order: Sequence[str] = ()) -> None:
