@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import exact_sum
 
 HOT_SHARE = 0.01  # a key is hot from this share of all rows on
-BROADCAST_ROWS = 100_000  # a side up to this many (narrow) rows is sent to every executor
+BROADCAST_BYTES = 10 * 1024 * 1024  # a side up to this size is sent to every executor
 
 
 def hot_keys(
@@ -53,17 +53,22 @@ def _all_set(cols: Sequence[str]) -> Column:
     return known
 
 
-def small_ones(frames: Sequence[DataFrame], rows: int = BROADCAST_ROWS) -> list[bool]:
-    """Which frames have at most ``rows`` rows, counted in one job.
+def small_ones(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
+    """Which frames are at most ``limit`` bytes, measured in one job over all of them.
 
-    On a plain Parquet table the count comes from the file footers.
+    Fixed-width columns count 8 bytes a row, text its length. A frame without text columns is
+    only counted, which a plain Parquet table answers from its file footers.
     """
-    counts = None
+    sizes = None
     for i, df in enumerate(frames):
-        one = df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"))
-        counts = one if counts is None else counts.unionByName(one)
-    found = {row["i"]: row["n"] for row in counts.collect()} if frames else {}  # one row per frame
-    return [found[i] <= rows for i in range(len(frames))]
+        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+        size = F.count(F.lit(1)) * 8 * len(df.columns)
+        for c in texts:
+            size = size + F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+        one = df.agg(F.lit(i).alias("i"), size.alias("bytes"))
+        sizes = one if sizes is None else sizes.unionByName(one)
+    found = {row["i"]: row["bytes"] for row in sizes.collect()} if frames else {}  # one row per frame
+    return [found[i] <= limit for i in range(len(frames))]
 
 
 def spread_join(
@@ -72,11 +77,11 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     hot: Mapping[int | None, int] | None = None,
-    rows: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join of many ``left`` rows to a ``right`` side that is unique on ``on``.
 
-    A right side of at most ``rows`` rows is broadcast and ``left`` stays where it is. A bigger
+    A right side of at most ``limit`` bytes is broadcast and ``left`` stays where it is. A bigger
     one is joined by shuffle: hot left keys are salted and only their right rows are repeated,
     once per salt, at most (shuffle partitions + number of hot keys) extra right rows in all.
     Left rows with a NULL key match nothing, so many of them are salted too and do not pile up in
@@ -87,7 +92,7 @@ def spread_join(
         raise ValueError(f"how must be left or inner, not {how!r}")
     out = left.columns + [c for c in right.columns if c not in on]
     if hot is None:
-        (small,) = small_ones([right], rows)
+        (small,) = small_ones([right], limit)
         if small:
             return left.join(F.broadcast(right), list(on), how).select(*out)
         (hot,) = hot_keys(left, [list(on)])
@@ -109,14 +114,14 @@ def star_join(
     fact: DataFrame,
     lookups: Sequence[tuple[DataFrame, str, Sequence[str]]],
     how: str = "left",
-    rows: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Attach columns of several dimensions: ``(dimension, key, columns)`` each.
 
     One job counts the dimensions; small ones are broadcast. The hot keys of all others are found
     in one pass over the fact table.
     """
-    small = small_ones([dim for dim, _, _ in lookups], rows)
+    small = small_ones([dim.select(key, *cols) for dim, key, cols in lookups], limit)
     big_keys = [key for (_, key, _), s in zip(lookups, small) if not s]
     hot = iter(hot_keys(fact, [[k] for k in big_keys]) if big_keys else [])
     for (dim, key, cols), is_small in zip(lookups, small):

@@ -53,11 +53,12 @@ def write_monthly(df: DataFrame, date_col: str, path: str, launch: str, late_col
 
     Two writes, one per schema, each reading only its months when the source prunes by date.
     """
-    month = F.date_format(date_col, "yyyy-MM")
-    early = df.filter(month < launch[:7]).drop(*late_cols)
-    late = df.filter(month >= launch[:7])
+    first_day = F.lit(f"{launch[:7]}-01").cast(df.schema[date_col].dataType)
+    early = df.filter(F.col(date_col) < first_day).drop(*late_cols)
+    late = df.filter((F.col(date_col) >= first_day) | F.col(date_col).isNull())
     for part in (early, late):
-        gathered(part.withColumn("ym", month), "ym").write.mode("append").partitionBy("ym").parquet(path)
+        part = part.withColumn("ym", F.date_format(date_col, "yyyy-MM"))
+        gathered(part, "ym").write.mode("append").partitionBy("ym").parquet(path)
 
 
 def write_ndjson(df: DataFrame, path: str, time_cols: Sequence[str], order: Sequence[str] = ()) -> None:
