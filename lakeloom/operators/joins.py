@@ -85,8 +85,11 @@ def spread_join(
     one is joined by shuffle: hot left keys are salted and only their right rows are repeated,
     once per salt, at most (shuffle partitions + number of hot keys) extra right rows in all.
     Left rows with a NULL key match nothing, so many of them are salted too and do not pile up in
-    one task. The salt is a hash of the row and so the same after a retry. Without hot keys this
-    is a plain join. With ``hot`` given, neither size nor keys are looked at.
+    one task. Without hot keys this is a plain join. With ``hot`` given, neither size nor keys are
+    looked at.
+
+    The salt is made of a hash of the row, which is the same after a retry, and the number of the
+    task's partition, which is too: so exact copies of one row also end in different tasks.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
@@ -104,7 +107,7 @@ def spread_join(
         table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
         splits = F.coalesce(F.element_at(table, F.xxhash64(*on)), F.lit(1))
     ways = F.when(_all_set(on), splits).otherwise(F.lit(hot.get(None, 1)))
-    salt = F.pmod(F.xxhash64(*left.columns), ways.cast("bigint")).cast("int")
+    salt = F.pmod(F.pmod(F.xxhash64(*left.columns), ways) + F.spark_partition_id(), ways).cast("int")
     salted_left = left.withColumn("_salt", salt)
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
     return salted_left.join(salted_right, [*on, "_salt"], how).select(*out)
@@ -161,10 +164,16 @@ def orphans(fact: DataFrame, source: DataFrame, fact_id: str, key: str, source_r
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
-    """Fact rows whose non-NULL reference has no row in ``dim``."""
-    return fact.filter(F.col(on).isNotNull()).join(dim.select(on), on, "left_anti")
+    """Fact rows whose non-NULL reference has no row in ``dim``; the reference comes first."""
+    listed = dim.select(on).distinct().withColumn("_listed", F.lit(True))
+    found = spread_join(fact.filter(F.col(on).isNotNull()), listed, [on])
+    return found.filter(F.col("_listed").isNull()).select(on, *[c for c in fact.columns if c != on])
 
 
 def keys_without_rows(base: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Set difference of keys."""
-    return base.select(key).subtract(other.select(key))
+    """Distinct keys of ``base`` that ``other`` lacks.
+
+    One aggregation over both sides: repeated keys shrink before the shuffle.
+    """
+    sides = base.select(key, F.lit(0).alias("_side")).unionByName(other.select(key, F.lit(1).alias("_side")))
+    return sides.groupBy(key).agg(F.max("_side").alias("_side")).filter("_side = 0").select(key)

@@ -18,14 +18,22 @@ from ..session import shared_dir
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above, the row number below
 
 
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Range-partitioned and sorted by ``order``; equal rows may go on in the next partition.
+
+    The number of the task a row comes from (the same after a retry) is the last sort key, so a
+    value or a row that holds much of the table does not have to fit into one partition.
+    """
+    tied = df.withColumn("_tie", F.spark_partition_id())
+    return tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+
+
 def ordered_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``_slice`` and ``_pos`` (from 0): sorting by the two is sorting by ``order``."""
     shared_dir(df.sparkSession)
-    place = F.monotonically_increasing_id()
     return (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", place)
+        _ranged(df, order)
+        .withColumn("_place", F.monotonically_increasing_id())
         .checkpoint()
         .withColumn("_slice", F.shiftrightunsigned("_place", _ROW_BITS))
         .withColumn("_pos", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
@@ -60,10 +68,7 @@ def extend_keys(df: DataFrame, existing: DataFrame, id_col: str, out: str) -> Da
 
 
 def running_max(df: DataFrame, value: str, order: Sequence[str], out: str) -> DataFrame:
-    """Largest ``value`` so far (own row included) in the order of the given columns.
-
-    Rows that agree on ``order`` and ``value`` share a slice: collapse copies first.
-    """
+    """Largest ``value`` so far (own row included) in the order of the given columns."""
     placed = ordered_slices(df, order)
     tops = placed.groupBy("_slice").agg(F.max(value).alias("_top"))
     carried = F.broadcast(_before(tops, F.max("_top"), "_carried"))  # one row per slice
@@ -76,7 +81,7 @@ def running_max(df: DataFrame, value: str, order: Sequence[str], out: str) -> Da
 
 def write_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Globally sorted output: part files follow one another, each one is sorted."""
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _ranged(df, order)
 
 
 def rolling_count(

@@ -9,6 +9,7 @@ from ..operators.ordering import extend_keys
 from ..plans import gold
 from ..plans.layers import clean_customers, clean_items, clean_orders
 from ..plans.payments import numbered, payment_base
+from ..sources.writers import staged
 from . import raw
 
 DATE_COLUMNS = """
@@ -52,9 +53,8 @@ def fact_orders(spark, d):
 
 
 def fact_order_items(spark, d):
-    return gold.fact_order_items(
-        clean_items(raw.raw_items(spark, d)), clean_orders(raw.raw_orders(spark, d)), dim_product(spark, d)
-    )
+    items = staged(clean_items(raw.raw_items(spark, d)), "clean-items")
+    return gold.fact_order_items(items, clean_orders(raw.raw_orders(spark, d)), dim_product(spark, d))
 
 
 def line_amounts(spark, d):

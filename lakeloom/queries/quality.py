@@ -11,8 +11,7 @@ from ..operators.inject import inject_skew
 from ..operators.ordering import dense_key
 from ..plans import checks, profile
 from ..plans.layers import clean_items, clean_orders
-from ..session import scratch
-from ..sources.writers import write_table
+from ..sources.writers import staged
 from ..streaming.stateful import split_late
 from . import modelling, raw
 
@@ -67,12 +66,9 @@ def dq_null_split(spark, d):
 
 def dq_gold(spark, d):
     """The standing checks over the star schema, which is written first, as in a real run."""
-    made = {}
-    for fact in (modelling.fact_orders, modelling.fact_order_items):
-        path = scratch(spark, fact.__name__)
-        write_table(fact(spark, d), path)
-        made[fact.__name__] = spark.read.parquet(path)
-    return checks.gold_checks(made["fact_orders"], made["fact_order_items"], clean_orders(raw.raw_orders(spark, d)))
+    fact_orders = staged(modelling.fact_orders(spark, d), "fact-orders")
+    fact_items = staged(modelling.fact_order_items(spark, d), "fact-order-items")
+    return checks.gold_checks(fact_orders, fact_items, clean_orders(raw.raw_orders(spark, d)))
 
 
 def batch_profile(spark, d):

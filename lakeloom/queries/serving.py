@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..plans import serving
 from ..plans.gold import customer_features, order_wide
 from ..plans.layers import clean_customers, clean_items, clean_orders
+from ..sources.writers import staged
 from . import raw
 from .sql import customer_90d
 
@@ -14,9 +15,8 @@ def _wide(spark, d, **sides):
 
 
 def features_90d(spark, d, **options):
-    return customer_features(
-        clean_orders(raw.raw_orders(spark, d)), clean_items(raw.raw_items(spark, d)), raw.raw_products(spark, d), **options
-    )
+    items = staged(clean_items(raw.raw_items(spark, d)), "clean-items")
+    return customer_features(clean_orders(raw.raw_orders(spark, d)), items, raw.raw_products(spark, d), **options)
 
 
 def revenue_by_region(spark, d):

@@ -21,6 +21,8 @@ def get_spark(app: str = "lakeloom", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # Checkpoint files go when the frame is no longer used.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # State of streaming jobs on local disk instead of the heap.
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

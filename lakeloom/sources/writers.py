@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import counted
 from ..operators.ordering import write_order
+from ..session import scratch
 from .messages import encode_json
 
 
@@ -33,6 +34,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return seen.get["rows"]
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a frame that several jobs read, such as a cleaned table before a join that first looks
+    at its keys: the work is done once, and later reads prune columns.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> int:
     """Create or replace (or append to) a catalog table and return the number of rows."""
     df, seen = counted(df, "saved")

@@ -5,8 +5,9 @@ Every function takes a batch or a streaming frame.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -61,9 +62,26 @@ def interval_join(
     return a.join(r, cond, how).drop(*names.values())
 
 
+def first_in_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop repeated keys within each Arrow batch of a task, before any shuffle.
+
+    Streaming dedup sends every row to the task of its key; this keeps a key with very many
+    copies from filling that task.
+    """
+    keys = list(keys)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.table({k: batch.column(k) for k in keys} | {"_row": pa.array(range(batch.num_rows), pa.int64())})
+            first = rows.group_by(keys).aggregate([("_row", "min")])["_row_min"].combine_chunks()
+            yield batch.take(first.sort())
+
+    return df.mapInArrow(run, df.schema)
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = "5 minutes") -> DataFrame:
     """First arrival per key; a key is remembered for ``lateness`` of event time."""
-    return with_watermark(df, ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+    return with_watermark(first_in_batch(df, keys), ts, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 def split_late(df: DataFrame, ts: str, created: str, allowed: int) -> tuple[DataFrame, DataFrame]:

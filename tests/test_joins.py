@@ -106,3 +106,18 @@ def test_set_difference(spark, rows):
     a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     b = spark.createDataFrame([(2,)], "k int")
     assert rows(keys_without_rows(a, b, "k")) == [(None,), (1,)]
+
+
+def test_exact_copies_of_a_row_are_spread(dim, spark, rows):
+    copies = spark.range(8000, numPartitions=8).select(F.lit(7).cast("bigint").alias("k"), F.lit("same").alias("s"))
+    left = copies.unionByName(spark.range(4000).select(F.col("id").alias("k"), F.lit("one").alias("s")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = spread_join(left, dim, ["k"], "inner", limit=0)
+        tasks = got.filter("s = 'same'").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tasks > 1
+    assert got.count() == 12_000 and got.filter("name != concat('n', k)").count() == 0

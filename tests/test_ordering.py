@@ -72,3 +72,14 @@ def test_rolling_count_against_brute_force(spark, minutes, bucket):
     for r in rolling_count(df, "u", "t", minutes, "n", bucket).collect():
         assert r.n == sum(1 for u, t in data if u == r.u and r.t - span <= t <= r.t)
         assert r.rows_at_time == sum(1 for u, t in data if u == r.u and t == r.t)
+
+
+def test_a_value_with_most_rows_spans_slices(spark):
+    df = spark.range(16_000, numPartitions=8).select(F.lit(1).alias("k"), F.lit(2).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = ordered_slices(df, ["k"])
+        assert placed.select("_slice").distinct().count() > 4
+        assert running_max(df, "v", ["k"], "seen").filter("seen = 2").count() == 16_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
