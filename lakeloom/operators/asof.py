@@ -55,11 +55,10 @@ def point_in_time_join(
 
     # State at the start of each bucket: one row per (entity, bucket), ordered by the clock.
     blank = F.lit(None).cast(newest.schema["_f"].dataType)
-    ends = newest.groupBy(*keys, "_b").agg(F.max("_f").alias("_f"))
-    wanted = asked.select(*keys, "_b", blank.alias("_f")).distinct()
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ends.unionByName(wanted)
+        newest.select(*keys, "_b", "_f")
+        .unionByName(asked.select(*keys, "_b", blank.alias("_f")))
         .groupBy(*keys, "_b")
         .agg(F.max("_f").alias("_f"))
         .withColumn("_f", F.last("_f", ignorenulls=True).over(earlier))

@@ -183,37 +183,33 @@ def customer_features(
     named = products.select("product_id", "category", F.lit(1).alias("_listed"))
     lines = lookup(lines, named, "product_id", ["category", "_listed"])
 
-    # Lines shrink to one row per (customer, order, category) before any wider grouping.
-    cells = lines.groupBy("customer_id", "order_id", "category").agg(
-        F.sum(cents("line_amount")).alias("amount"), F.count("_listed").alias("listed")
-    )
-    per_order = cells.groupBy("customer_id", "order_id").agg(
-        F.sum("amount").alias("total"), F.sum("listed").alias("listed")
+    # One pass over the lines for both groupings: orders of a customer, categories of a customer.
+    sets = lines.groupingSets(
+        [["customer_id", "order_id"], ["customer_id", "category"]], "customer_id", "order_id", "category"
+    ).agg(
+        F.sum(cents("line_amount")).alias("total"),
+        F.count("_listed").alias("listed"),
+        (F.grouping("category") == 1).alias("is_order"),
     )
     weight = F.col("listed") if grain == "line" else F.lit(1)
+    order = F.col("is_order")
     per_customer = (
-        per_order.filter("listed > 0")
+        sets.filter("listed > 0")
         .groupBy("customer_id")
         .agg(
-            F.count(F.lit(1)).alias("n_orders"),
-            F.sum(F.col("total") * weight).alias("weighted"),
-            F.sum(weight).alias("weight"),
+            F.count_if(order).alias("n_orders"),
+            F.sum(F.when(order, F.col("total") * weight)).alias("weighted"),
+            F.sum(F.when(order, weight)).alias("weight"),
+            F.count_if(~order & F.col("category").isNotNull()).alias("n_categories"),
         )
     )
-    kinds = (
-        cells.filter((F.col("listed") > 0) & F.col("category").isNotNull())
-        .select("customer_id", "category")
-        .distinct()
-        .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("n_categories"))
-    )
     stamp_day = last_day if stamp == "start" else F.date_add(last_day, 1)
-    return per_customer.join(kinds, "customer_id", "left").select(
+    return per_customer.select(
         "customer_id",
         stamp_day.cast("timestamp_ntz").alias("event_timestamp"),
         F.col("n_orders").alias("f_total_orders_90d"),
         mean_half_up("weighted", "weight").alias("f_avg_order_value_90d"),
-        F.coalesce("n_categories", F.lit(0)).cast("bigint").alias("f_distinct_categories_90d"),
+        F.col("n_categories").alias("f_distinct_categories_90d"),
     )
 
 
