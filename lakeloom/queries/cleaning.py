@@ -88,7 +88,7 @@ def json_roundtrip(spark, d):
 
 
 def _damaged(spark, d):
-    """Every 50th event is cut off, every 50th has text for a number, every 50th line is blank."""
+    """Lines of a file where every 50th event is cut off, has text for a number, or is blank."""
     rows = raw.clean_source_events(spark, d)
     text = encode_json(rows, CLOCKS)
     key = F.col("event_id")
@@ -98,7 +98,9 @@ def _damaged(spark, d):
         .when(key % 50 == 2, F.lit("  "))
         .otherwise(text)
     )
-    return rows.select(value.alias("value"))
+    path = scratch(spark, "damaged-lines")
+    rows.select(value.alias("value")).write.text(path)
+    return spark.read.text(path)
 
 
 def json_lenient(spark, d):

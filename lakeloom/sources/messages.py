@@ -36,7 +36,9 @@ def decode_json(df: DataFrame, col: str, schema: StructType) -> tuple[DataFrame,
         "timestampNTZFormat": ISO,
     }
     marked = StructType([*schema.fields, StructField("_corrupt", StringType())])
-    parsed = lines.withColumn("_v", F.from_json(col, marked, options))
+    # Exploding a one-element array keeps the filter below from being pushed under the parse, which
+    # would parse every line twice.
+    parsed = lines.select("*", F.explode(F.array(F.from_json(col, marked, options))).alias("_v"))
     # Only lines that did not parse cleanly are parsed again, to tell a wrong field from a broken line.
     broken = F.col("_v._corrupt").isNotNull() & F.try_parse_json(col).isNull()
     readable = F.ltrim(col).startswith("{") & ~broken
