@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import quantiles
 
-def psi(base: DataFrame, cur: DataFrame, col: str, bins: int = 10, alert: float = 0.15) -> DataFrame:
+
+def psi(
+    base: DataFrame, cur: DataFrame, col: str, bins: int = 10, alert: float = 0.15, exact: bool = True
+) -> DataFrame:
     """Population stability index over quantile bins of the baseline.
 
     One row per bin with both shares and the bin's part of the index, plus the total and the
     alert flag on each row. Only the cut points and one count per bin leave the big tables.
-    An empty bin counts as a share of 0.0001.
+    An empty bin counts as a share of 0.0001. ``exact=False`` takes the cut points from a quantile
+    sketch, which saves the sort of the baseline's distinct values.
     """
     marks = [i / bins for i in range(1, bins)]
-    cuts = base.agg(F.array_distinct(F.percentile_approx(col, marks, 100_000))).scalar()
+    if exact:
+        found = quantiles(base, col, marks)
+    else:
+        found = base.agg(F.percentile_approx(col, marks, 100_000).alias("cuts"))
+    cuts = found.select(F.array_distinct("cuts")).scalar()
 
     def shares(df, name):
         slot = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(col)))

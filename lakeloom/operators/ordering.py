@@ -8,7 +8,7 @@ needs only one small number per slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,16 +67,36 @@ def extend_keys(df: DataFrame, existing: DataFrame, id_col: str, out: str) -> Da
     return existing.select(out, id_col).unionByName(dense_key(fresh, id_col, out, top))
 
 
-def running_max(df: DataFrame, value: str, order: Sequence[str], out: str) -> DataFrame:
-    """Largest ``value`` so far (own row included) in the order of the given columns."""
+def _running(df: DataFrame, agg: Callable[[str], Column], value: str, order: Sequence[str]) -> DataFrame:
+    """Add ``_local``, the aggregate so far within the slice, and ``_carried``, that of earlier slices."""
     placed = ordered_slices(df, order)
-    tops = placed.groupBy("_slice").agg(F.max(value).alias("_top"))
-    carried = F.broadcast(_before(tops, F.max("_top"), "_carried"))  # one row per slice
+    totals = placed.groupBy("_slice").agg(agg(value).alias("_total"))
+    carried = F.broadcast(_before(totals, agg("_total"), "_carried"))  # one row per slice
     so_far = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumn("_local", F.max(value).over(so_far))
-    return local.join(carried, "_slice").select(
-        *df.columns, F.greatest("_local", "_carried").alias(out)
-    )
+    return placed.withColumn("_local", agg(value).over(so_far)).join(carried, "_slice")
+
+
+def running_max(df: DataFrame, value: str, order: Sequence[str], out: str) -> DataFrame:
+    """Largest ``value`` so far (own row included) in the order of the given columns."""
+    return _running(df, F.max, value, order).select(*df.columns, F.greatest("_local", "_carried").alias(out))
+
+
+def running_sum(df: DataFrame, value: str, order: Sequence[str], out: str) -> DataFrame:
+    """Sum of ``value`` so far (own row included) in the order of the given columns."""
+    total = F.coalesce("_carried", F.lit(0)) + F.col("_local")
+    return _running(df, F.sum, value, order).select(*df.columns, total.alias(out))
+
+
+def quantiles(df: DataFrame, col: str, marks: Sequence[float]) -> DataFrame:
+    """Exact quantiles: one row with the array ``cuts``, the smallest value that reaches each mark.
+
+    Equal values collapse to a count first; then a running sum over the distinct values.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    reached = running_sum(counts, "_n", [col], "_reached")
+    n = df.agg(F.count(col)).scalar()
+    cuts = [F.min(F.when(F.col("_reached") >= n - F.floor(n - n * F.lit(m)), F.col(col))) for m in marks]
+    return reached.agg(F.array(*cuts).alias("cuts"))
 
 
 def write_order(df: DataFrame, order: Sequence[str]) -> DataFrame:

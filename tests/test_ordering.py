@@ -5,7 +5,16 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ordering import dense_key, extend_keys, ordered_slices, rolling_count, running_max, write_order
+from lakeloom.operators.ordering import (
+    dense_key,
+    extend_keys,
+    ordered_slices,
+    quantiles,
+    rolling_count,
+    running_max,
+    running_sum,
+    write_order,
+)
 
 
 def scrambled(spark, n=20_000):
@@ -83,3 +92,13 @@ def test_a_value_with_most_rows_spans_slices(spark):
         assert running_max(df, "v", ["k"], "seen").filter("seen = 2").count() == 16_000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_running_sum_and_exact_quantiles(spark, rows):
+    df = spark.range(3000).select("id", (F.col("id") % 7).alias("v"))
+    got = running_sum(df, "v", ["id"], "s")
+    want = df.withColumn("want", F.sum("v").over(Window.orderBy("id")))
+    assert got.join(want, "id").filter("s != want").count() == 0
+    data = [(float(x),) for x in [1, 1, 1, 2, 3, 4, 5, 6, 7, 8]] + [(None,)]
+    cuts = quantiles(spark.createDataFrame(data, "v double"), "v", [0.1, 0.3, 0.31, 0.5, 1.0]).first().cuts
+    assert cuts == [1.0, 1.0, 2.0, 3.0, 8.0]

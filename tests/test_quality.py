@@ -101,3 +101,5 @@ def test_psi(spark):
     moved = psi(base, base.filter("v > 5000"), "v").first()
     assert moved.psi > 1 and moved.drifted
     assert not psi(base, base.filter("v > 5000"), "v", alert=100).first().drifted
+    sketched = psi(base, base.filter("v > 5000"), "v", exact=False).first()
+    assert sketched.psi == pytest.approx(moved.psi, rel=0.05)
