@@ -102,14 +102,17 @@ def spread_join(
     named = {item: splits for item, splits in hot.items() if item is not None}
     if not named and (how == "inner" or None not in hot):
         return left.join(right, list(on), how).select(*out)
-    splits = F.lit(1)
+    splits = right_splits = F.lit(1)
     if named:
         table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+        # Hashes depend on the type, so right keys are hashed as the left type (an INT and a BIGINT may join).
+        alike = [F.col(c).try_cast(left.schema[c].dataType) for c in on]
         splits = F.coalesce(F.element_at(table, F.xxhash64(*on)), F.lit(1))
+        right_splits = F.coalesce(F.element_at(table, F.xxhash64(*alike)), F.lit(1))
     ways = F.when(_all_set(on), splits).otherwise(F.lit(hot.get(None, 1)))
     salt = F.pmod(F.pmod(F.xxhash64(*left.columns), ways) + F.spark_partition_id(), ways).cast("int")
     salted_left = left.withColumn("_salt", salt)
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), right_splits - 1)))
     return salted_left.join(salted_right, [*on, "_salt"], how).select(*out)
 
 

@@ -10,7 +10,7 @@ def tables(spark):
         return DAY0 + dt.timedelta(days=day, hours=hour)
 
     stores = [("S1", "One", "Hanoi", "North", "cafe"), ("S2", "Two", "Hue", "Central", "kiosk")]
-    products = [("P1", "Latte", "coffee", 65.0, True, True), ("P2", "Tea", "tea", 45.0, True, True), ("P3", "Mug", "merch", 180.0, False, False)]
+    products = [("P1", "Cocoa", "drinks", 65.0, True, True), ("P2", "Tea", "tea", 45.0, True, True), ("P3", "Mug", "merch", 180.0, False, False)]
     customers = [
         ("C1", "Ann A", "ann@x.test", "Hue", "gold", True, DAY0),
         ("C2", "Bob B", "bob@x.test", None, "none", None, DAY0),

@@ -121,3 +121,13 @@ def test_exact_copies_of_a_row_are_spread(dim, spark, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert tasks > 1
     assert got.count() == 12_000 and got.filter("name != concat('n', k)").count() == 0
+
+
+@pytest.mark.parametrize(("a", "b"), [("int", "bigint"), ("bigint", "int"), ("bigint", "bigint")])
+def test_keys_of_different_width_still_match_when_salted(spark, a, b):
+    left = spark.range(9000).selectExpr(f"CAST(IF(id % 3 = 0, 7, id) AS {a}) AS k", "id")
+    right = spark.range(9000).selectExpr(f"CAST(id AS {b}) AS k", "id AS v")
+    if b == "bigint":
+        right = right.unionByName(spark.range(1).selectExpr(f"CAST(9000000000 AS {b}) AS k", "id AS v"))
+    got = spread_join(left, right, ["k"], "inner", limit=0)
+    assert got.count() == 9000 and got.filter("k != v").count() == 0
