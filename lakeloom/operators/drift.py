@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import quantiles
@@ -36,19 +36,19 @@ def psi(
         return counted
 
     both = shares(base, "base").join(shares(cur, "cur"), "bin", "full_outer").fillna(0)
-    totals = both.agg(F.struct(F.sum("base_rows").alias("b"), F.sum("cur_rows").alias("c"))).scalar()
-    floor = F.lit(0.0001)
-    b = F.greatest(F.col("base_rows").cast("double") / F.col("_t.b"), floor)
-    c = F.greatest(F.col("cur_rows").cast("double") / F.col("_t.c"), floor)
-    parts = both.withColumn("_t", totals).select(
-        "bin", "base_rows", "cur_rows", ((c - b) * F.log(c / b)).alias("psi_part")
-    )
-    whole = parts.agg(F.round(F.sum("psi_part"), 6)).scalar()
+    every = Window.partitionBy()  # one row per bin
+
+    def share(c):
+        return F.greatest(F.col(c).cast("double") / F.sum(c).over(every), F.lit(0.0001))
+
+    b, c = share("base_rows"), share("cur_rows")
+    parts = both.withColumn("_part", (c - b) * F.log(c / b))
+    whole = F.sum("_part").over(every)
     return parts.select(
         "bin",
         "base_rows",
         "cur_rows",
-        F.round("psi_part", 6).alias("psi_part"),
-        whole.alias("psi"),
+        F.round("_part", 6).alias("psi_part"),
+        F.round(whole, 6).alias("psi"),
         (whole > alert).alias("drifted"),
     )
