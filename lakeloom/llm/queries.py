@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, quality, urls
+from . import bpe, html, mixing, neardup, quality, sharding, urls
 from .common import rows_of
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,6 +24,27 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# --- 1: sharding --------------------------------------------------------------------------
+
+SHARD_BYTES = 1 << 20
+
+
+def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES)
+    return placed.select("doc_id", F.col("shard.name").alias("shard"), F.col("shard.depth").alias("depth"), F.col("shard.bytes").alias("n_bytes"))
+
+
+OP1_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM documents),
+levels AS (
+  SELECT depth, h >> (60 - depth) AS p, sum(n_bytes) AS bytes FROM d, unnest(range(61)) AS t(depth) GROUP BY ALL),
+found AS (
+  SELECT doc_id, n_bytes, h, min(depth) AS depth
+  FROM d JOIN levels ON h >> (60 - depth) = p WHERE bytes <= {SHARD_BYTES} GROUP BY ALL)
+SELECT doc_id, substr(lpad(bin(h), 60, '0'), 1, depth) AS shard, depth::INT AS depth, n_bytes FROM found
+"""
+
 # --- 2: near duplicates -------------------------------------------------------------------
 
 
@@ -91,6 +112,15 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parts LEFT JOIN hits USING (page_id)
 """
 
+# --- 4: main text -------------------------------------------------------------------------
+
+
+def op4_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extract(pages, "html", "text")
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 # --- 5: quality rules ---------------------------------------------------------------------
 
 
@@ -134,6 +164,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+# --- 8: mixing ----------------------------------------------------------------------------
+
+
+def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.damped_weights(docs, "source"))
+    return mixed.select("doc_id", "source", F.col("mix.block").alias("block"), F.col("mix.slot").alias("slot"), F.col("mix.place").alias("place"))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE
+counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+exact AS (
+  SELECT source, pow(n, 0.7) * greatest({mixing.CYCLE}, 2 * count(*) OVER ()) / sum(pow(n, 0.7)) OVER () AS x,
+         greatest({mixing.CYCLE}, 2 * count(*) OVER ()) AS c
+  FROM counts),
+whole AS (SELECT *, greatest(1, floor(x))::BIGINT AS f FROM exact),
+ranked AS (
+  SELECT *, c - sum(f) OVER () AS spare, row_number() OVER (ORDER BY x - f DESC, source NULLS FIRST) AS r FROM whole),
+shares AS (SELECT source, f + (r <= spare)::BIGINT AS a FROM ranked),
+plan AS (SELECT list(source ORDER BY source NULLS FIRST) AS s, list(a ORDER BY source NULLS FIRST) AS a, sum(a)::BIGINT AS m FROM shares),
+steps(slot, done, pick) AS (
+  SELECT -1::BIGINT, list_transform(a, lambda x: 0::BIGINT), NULL::BIGINT FROM plan
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda d, i: d + (i = k)::BIGINT), k
+  FROM (
+    SELECT slot, done,
+           list_min(list_filter(list_transform(range(1, len(a) + 1), lambda i:
+             CASE WHEN done[i] < a[i] AND done[i] * m < (slot + 2) * a[i]
+                  THEN ((done[i] + 1) * m + a[i] - 1) // a[i] * 1000000 + i END), lambda v: v IS NOT NULL)) % 1000000 AS k
+    FROM steps, plan WHERE slot + 1 < m)),
+schedule AS (
+  SELECT s[pick] AS source, done[pick] - 1 AS turn, slot, m, a[pick] AS a FROM steps, plan WHERE slot >= 0),
+placed AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('mix' || doc_id::VARCHAR), doc_id) - 1 AS n FROM documents)
+SELECT doc_id, p.source, n // {mixing.BLOCK} AS block, (n // {mixing.BLOCK}) // h.a * m + slot AS slot, (n % {mixing.BLOCK})::INT AS place
+FROM placed p JOIN shares h ON p.source IS NOT DISTINCT FROM h.source
+JOIN schedule c ON c.source IS NOT DISTINCT FROM p.source AND c.turn = (n // {mixing.BLOCK}) % h.a
+"""
+
 # --- 9: byte-level BPE --------------------------------------------------------------------
 
 
@@ -149,8 +219,11 @@ def op9_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_extendible_shards": (op1_extendible_shards, OP1_SQL),
     "op2_minhash": (op2_minhash, OP2_SQL),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
+    "op4_tag_path_text": (op4_tag_path_text, None),
     "op5_quality_ledger": (op5_quality_ledger, OP5_SQL),
+    "op8_pfair_mix": (op8_pfair_mix, OP8_SQL),
     "op9_forced_bpe": (op9_forced_bpe, None),
 }
