@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY_LIMIT = 64 << 20  # bytes of vocabulary that go along with each task
-REMEMBERED = 400_000  # fragments whose ids a worker keeps
+REMEMBERED = 150_000  # fragments whose ids a worker keeps
 PORTION = 1_000_000  # characters that are cut at a time
 LONGEST = 64  # characters of a fragment that is remembered
 
