@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, mixing, neardup, quality, sharding, urls
+from . import ann, bpe, html, mixing, neardup, quality, sharding, urls
 from .common import rows_of
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -218,6 +218,13 @@ def op9_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 10: nearest neighbours ---------------------------------------------------------------
+
+
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_extendible_shards": (op1_extendible_shards, OP1_SQL),
     "op2_minhash": (op2_minhash, OP2_SQL),
@@ -226,4 +233,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_quality_ledger": (op5_quality_ledger, OP5_SQL),
     "op8_pfair_mix": (op8_pfair_mix, OP8_SQL),
     "op9_forced_bpe": (op9_forced_bpe, None),
+    "op10_multi_index": (op10_multi_index, None),
 }
