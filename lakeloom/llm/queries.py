@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, mixing, neardup, quality, sharding, urls
+from . import ann, bpe, html, mixing, neardup, pii, quality, sharding, urls
 from .common import rows_of
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -164,6 +164,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+# --- 6: personal data ---------------------------------------------------------------------
+
+
+def op6_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 # --- 8: mixing ----------------------------------------------------------------------------
 
 
@@ -231,6 +247,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op4_tag_path_text": (op4_tag_path_text, None),
     "op5_quality_ledger": (op5_quality_ledger, OP5_SQL),
+    "op6_boosted_pii": (op6_boosted_pii, None),
     "op8_pfair_mix": (op8_pfair_mix, OP8_SQL),
     "op9_forced_bpe": (op9_forced_bpe, None),
     "op10_multi_index": (op10_multi_index, None),
