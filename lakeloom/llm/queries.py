@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, mixing, neardup, pii, quality, sharding, urls
+from . import ann, bpe, html, mixing, neardup, pii, quality, repeats, sharding, urls
 from .common import rows_of
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -180,6 +180,14 @@ def op6_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 7: repeated passages -----------------------------------------------------------------
+
+
+def op7_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- 8: mixing ----------------------------------------------------------------------------
 
 
@@ -248,6 +256,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_tag_path_text": (op4_tag_path_text, None),
     "op5_quality_ledger": (op5_quality_ledger, OP5_SQL),
     "op6_boosted_pii": (op6_boosted_pii, None),
+    "op7_column_suffixes": (op7_column_suffixes, None),
     "op8_pfair_mix": (op8_pfair_mix, OP8_SQL),
     "op9_forced_bpe": (op9_forced_bpe, None),
     "op10_multi_index": (op10_multi_index, None),
