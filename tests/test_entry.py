@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from lakeloom.queries import all_queries, all_sql
 
 from .compare import DATA, differences, duck
 
@@ -16,7 +17,11 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(all_sql()) == set(all_queries())
+
+
+def test_entry_lists_every_query():
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
@@ -24,6 +29,6 @@ def test_flagship(spark):
     assert df.columns == ["region", "orders", "revenue"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WIDE_RUNS))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - WIDE_RUNS))
 def test_query_matches_sql(spark, con, name):
-    assert differences(entry.queries()[name](spark, SF), con.sql(entry.oracle_sql()[name])) is None
+    assert differences(all_queries()[name](spark, SF), con.sql(all_sql()[name])) is None
