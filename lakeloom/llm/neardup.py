@@ -5,7 +5,8 @@
    Texts with the same words form a class and go on as one representative.
 2. Documents that share a band are candidates. In each band bucket every member meets the smallest
    one first, which is enough for groups of copies. Members of a bucket that are then still in
-   different components meet in blocks.
+   different components are looked at again: one with too many shingles that no other such member
+   has cannot be similar to any of them, which settles the outliers of large groups. The rest meet in blocks.
 3. A candidate pair stays if the similarity estimated from equal signature parts, corrected for
    chance collisions, is at most ``MARGIN`` below the threshold. The survivors are confirmed on
    the full shingle sets, and components are built from confirmed links.
@@ -178,16 +179,17 @@ def promising(pairs: DataFrame, signs: DataFrame, similarity: Fraction) -> DataF
     ).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity.
-
-    Only texts of candidates are moved. Their ids are broadcast where that is measured to be small.
-    """
-    p, q = similarity.numerator, similarity.denominator
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _texts(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id`` and ``text`` of the documents in ``ids (id)``; the ids are broadcast where they are measured to be small."""
     (small,) = small_ones([ids], ID_BYTES)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(F.broadcast(ids) if small else ids, "id", "left_semi").dropDuplicates(["id"])
+    return texts.join(F.broadcast(ids) if small else ids, "id", "left_semi").dropDuplicates(["id"])
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction) -> DataFrame:
+    """Pairs whose full shingle sets reach the similarity. Only texts of candidates are moved."""
+    p, q = similarity.numerator, similarity.denominator
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, id_col, text_col)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -206,7 +208,37 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, sim
     return both.select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, similarity: Fraction) -> DataFrame:
+def supported(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction) -> DataFrame:
+    """``rep`` of those of ``ids (id)`` that can be similar to another one at all.
+
+    A shared shingle is in two sets. So a document is out if too few of its shingles are in
+    another set of the table. Counted exactly, with one row per shingle, combined before the shuffle.
+    """
+    p, q = similarity.numerator, similarity.denominator
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = shingle_hashes(words(text)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), id_)), pa.array(np.full(len(h), len(h)))], ["h", "id", "n"])
+
+    each = _texts(ids, docs, id_col, text_col).select("id", "text").mapInArrow(sets, "h bigint, id bigint, n bigint")
+    # A shingle of one set only has that set's id and size as its minima.
+    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"), F.min("n").alias("n"))
+    alone = held.filter("sets = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"), F.min("n").alias("n"))
+    out = alone.filter((F.col("n") - F.col("alone")) * q < F.col("n") * p)
+    return ids.join(out, "id", "left_anti").select(F.col("id").alias("rep"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """Members ``placed (key, rep, root)`` of buckets that hold several components."""
+    keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    return placed.join(keys, "key")
+
+
+def _rest(
+    buckets: DataFrame, labels: DataFrame, signs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction
+) -> DataFrame:
     """Promising pairs in buckets that hold members of several components, apart from pairs with
     the smallest member, which have been looked at.
 
@@ -215,12 +247,12 @@ def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, similarity: F
     level below, block by block, so no task holds a whole bucket.
     """
     placed = buckets.filter("rep <> leader").join(labels, F.col("rep") == F.col("node"), "left")
-    placed = placed.select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    placed = _open(placed.select("key", "rep", F.coalesce("root", "rep").alias("root"))).checkpoint()
+    able = supported(placed.select(F.col("rep").alias("id")).distinct().checkpoint(), docs, id_col, text_col, similarity)
+    placed = _open(placed.join(able, "rep", "left_semi"))
     step = float(np.log(1 / float(similarity))) + 1e-9
     members = (
-        placed.join(open_keys, "key")
-        .join(signs.select("rep", "n", *SIGNATURE), "rep")
+        placed.join(signs.select("rep", "n", *SIGNATURE), "rep")
         .withColumn("level", F.floor(F.ln("n") / step).cast("int"))
     )
     ways = members.groupBy("key", "level").agg(F.ceil(F.count(F.lit(1)) / float(BLOCK)).cast("int").alias("ways"))
@@ -290,7 +322,7 @@ def near_duplicates(
     first = buckets.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     links = confirmed(promising(first, signs, similarity).checkpoint(), docs, id_col, text_col, similarity).checkpoint()
     labels = components(links).checkpoint()
-    more = _rest(buckets, labels, signs, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
+    more = _rest(buckets, labels, signs, docs, id_col, text_col, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
     if not more.isEmpty():
         links = links.unionByName(confirmed(more, docs, id_col, text_col, similarity)).checkpoint()
         labels = components(links)
