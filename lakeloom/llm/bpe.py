@@ -23,12 +23,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY_LIMIT = 64 << 20  # bytes of vocabulary that go along with each task
 REMEMBERED = 150_000  # fragments whose ids a worker keeps
-PORTION = 1_000_000  # characters that are cut at a time
+PORTION = 500_000  # bytes or ids that are looked at a time
 LONGEST = 64  # characters of a fragment that is remembered
 
 
@@ -40,8 +41,11 @@ def byte_alphabet() -> dict[str, int]:
     return table | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+_ALPHABET = byte_alphabet()
+
+
 class Codec:
-    """One vocabulary file (JSON of the ``tokenizers`` library), ready to encode and decode."""
+    """One vocabulary file (JSON of the ``tokenizers`` library), ready to encode."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
@@ -51,22 +55,16 @@ class Codec:
             raise ValueError("a byte-level BPE vocabulary is needed")
         if spec["pre_tokenizer"].get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError("a prefix space or a normalizer is not handled")
-        alphabet = byte_alphabet()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes = [b""] * (1 + max([*spec["model"]["vocab"].values(), *self.special.values()]))
+        tokens = _token_bytes(spec)
         self.inside = np.zeros((256, 256), dtype=bool)  # pairs that some token holds
-        for token, i in spec["model"]["vocab"].items():
-            raw = bytes(alphabet[c] for c in token)
-            self.bytes[i] = raw
-            for a, b in zip(raw, raw[1:]):
+        for i in spec["model"]["vocab"].values():
+            for a, b in zip(tokens[i], tokens[i][1:]):
                 self.inside[a, b] = True
-        for token, i in self.special.items():
-            self.bytes[i] = token.encode()
-        self.table = pa.array(self.bytes, pa.large_binary())
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.encode_special_tokens = True  # they are found before the fragments are made
-        self.ints = list(range(len(self.bytes)))  # one object for each id
+        self.ints = list(range(len(tokens)))  # one object for each id
         self.words: dict[str, tuple[int, ...]] = {}  # ids of fragments between spaces
         self.parts: dict[str, tuple[int, ...]] = {}  # ids of their parts between letters and marks
         self._make_cuts()
@@ -118,17 +116,36 @@ class Codec:
         self.words = _joined(known, new)
         return [np.fromiter(chain.from_iterable(row), dtype=np.int32) for row in found]
 
+
+class Decoder:
+    """The bytes of every id of one vocabulary file."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        self.table = pa.array(_token_bytes(spec), pa.large_binary())
+
     def decode(self, ids: pa.Array) -> list[str]:
         """Texts of a list array of ids; bytes that are no UTF-8 become U+FFFD."""
         ids = ids.cast(pa.list_(pa.int32()))
         flat = self.table.take(ids.flatten())
         ends = np.frombuffer(flat.buffers()[1], dtype=np.int64)[flat.offset : flat.offset + len(flat) + 1]
-        data = flat.buffers()[2] or b""
-        data = memoryview(data)
+        data = memoryview(flat.buffers()[2] or b"")
         at = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
         return [str(data[ends[a] : ends[b]], "utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
 
 
+def _token_bytes(spec: dict) -> list[bytes]:
+    """Bytes of every token, by id."""
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    vocabulary = spec["model"]["vocab"]
+    found = [b""] * (1 + max([*vocabulary.values(), *special.values()]))
+    for token, i in vocabulary.items():
+        found[i] = bytes(_ALPHABET[c] for c in token)
+    for token, i in special.items():
+        found[i] = token.encode()
+    return found
+
+
 def _joined(known: dict, new: dict) -> dict:
     """``known`` with the short keys of ``new``, started anew when it is full."""
     known = {} if len(known) + len(new) > REMEMBERED else known
@@ -144,11 +161,16 @@ def _one_of(codes) -> str:
     return "[" + "".join(re.escape(chr(c)) for c in codes) + "]" if (codes := list(codes)) else "(?!)"
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(text: str) -> Codec:
     return Codec(text)
 
 
+@lru_cache(maxsize=1)
+def decoder(text: str) -> Decoder:
+    return Decoder(text)
+
+
 def _vocabulary(spark, path: str):
     """The vocabulary file as a broadcast, after a check of its size."""
     with open(path, encoding="utf-8") as file:
@@ -165,22 +187,20 @@ def encode(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids") -> D
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = codec(shared.value)
         for texts in batches:
-            yield _lists([ids for some in _portions(texts.to_pylist()) for ids in tool.encode(some)])
+            for some in _portions(texts):
+                yield _lists(tool.encode(some.to_pylist()))
 
     udf = F.arrow_udf(ids_of, "array<int>")
     return df.withColumn(out, udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def _portions(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in portions of about a million characters."""
-    some, size = [], 0
-    for t in texts:
-        some.append(t)
-        size += len(t)
-        if size >= PORTION:
-            yield some
-            some, size = [], 0
-    yield some
+def _portions(values: pa.Array) -> Iterator[pa.Array]:
+    """Slices with about ``PORTION`` characters or ids each, so that little is held at a time."""
+    sizes = pc.binary_length(values) if pa.types.is_string(values.type) or pa.types.is_large_string(values.type) else values.value_lengths()
+    before = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False)) // PORTION
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(values)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield values.slice(lo, hi - lo)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -194,9 +214,10 @@ def decode(df: DataFrame, ids_col: str, vocabulary: str, out: str = "decoded") -
     shared = _vocabulary(df.sparkSession, vocabulary)
 
     def texts_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tool = codec(shared.value)
+        tool = decoder(shared.value)
         for ids in batches:
-            yield pa.array(tool.decode(ids), pa.string())
+            for some in _portions(ids):
+                yield pa.array(tool.decode(some), pa.string())
 
     udf = F.arrow_udf(texts_of, "string")
     return df.withColumn(out, udf(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
