@@ -23,6 +23,7 @@ a column with the name of the result is replaced. Offsets are code points, ends
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -124,22 +125,24 @@ def features(kind: str, span: str, before: str, after: str) -> list[float]:
     """Format of the span and what stands around it."""
     digits = _only_digits(span)
     letters = sum(c.isalpha() for c in span)
-    groups = re.split(r"[^0-9]+", span.strip("+()- ."))
+    # What means nothing for a kind is constant for it, so that no tree splits on noise.
+    numeric = kind in ("ip", "card", "phone")
+    groups = re.split(r"[^0-9]+", span.strip("+()- .")) if numeric else ["0"]
     left = before.lower()
-    numbers = [int(g) for g in groups if 0 < len(g) <= 9]
+    numbers = [int(g) for g in groups if 0 < len(g) <= 9] if kind == "ip" else []
     return [
         float(KINDS.index(kind)),
         float(len(span)),
-        float(len(digits)),
-        float(letters),
-        len(digits) / len(span),
+        float(len(digits) if numeric else 0),
+        float(letters if numeric else 0),
+        len(digits) / len(span) if numeric else 0.0,
         len(set(span)) / len(span),
         float(len(set(span))),
         float(len(groups)),
         float(max(map(len, groups))),
         float(min(map(len, groups))),
         float(max(numbers, default=0)),
-        float(bool(digits) and luhn(digits)),
+        float(kind == "card" and luhn(digits)),
         float(span.startswith("+")),
         float("(" in span),
         float(span.count(".")),
@@ -169,7 +172,10 @@ def _variants(kind: str, span: str, before: str) -> list[tuple[str, str, bool]]:
     if kind == "phone":
         short = re.sub(r"^\+[0-9]{1,3}[\x20.-]?(?=[(0-9])", "", span)
         return [(short, before, len(_only_digits(short)) >= 9), (span[: len(span) // 2], before, False)]
-    return [(span, re.sub(r"\S+\s*[=:]\s*[\"']?\Z", "", before), True), (span[0] * len(span), before, False)]
+    bare = re.sub(r"\S+\s*[=:]\s*[\"']?\Z", "", before)
+    drawn = [hashlib.shake_128(f"{k}{span}".encode()) for k in range(4)]
+    other = [d.hexdigest((len(span) + 1) // 2)[: len(span)] for d in drawn]  # tokens of the same make
+    return [(span, bare, True), *((t, before, True) for t in other), (span[0] * len(span), before, False)]
 
 
 def _window(text: str, start: int, end: int) -> tuple[str, str]:
