@@ -16,6 +16,7 @@ from .columns import (
     net_cents,
     padded_id,
     plus_seconds,
+    scaled,
     seconds_between,
 )
 
@@ -35,5 +36,6 @@ __all__ = [
     "net_cents",
     "padded_id",
     "plus_seconds",
+    "scaled",
     "seconds_between",
 ]

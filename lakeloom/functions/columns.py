@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,9 +16,11 @@ def _col(c: str | Column) -> Column:
 
 # --- money -----------------------------------------------------------------------------
 #
-# Amounts are summed as whole cents in BIGINT: exact whatever the order of addition, and far
-# cheaper per row than DECIMAL casts. The range is 92 quadrillion units; in ANSI mode (the
-# default) a sum beyond it is an error, never a wrong number.
+# Amounts are summed as whole numbers of a small unit, a millionth by default, in DECIMAL: exact
+# whatever the order of addition, and only the result is rounded. Prices and shares that are
+# whole cents by definition are handled in cents.
+
+SCALE = 6  # decimals of an amount that count in a sum
 
 
 def cents(c: str | Column) -> Column:
@@ -24,12 +28,21 @@ def cents(c: str | Column) -> Column:
     return F.floor(_col(c) * 100 + 0.5).cast("bigint")
 
 
+def scaled(c: str | Column, scale: int = SCALE) -> Column:
+    """Amount in whole units of ``10 ** -scale``, as a DECIMAL whose sums cannot overflow."""
+    return F.floor(_col(c) * 10**scale + 0.5).cast("decimal(19,0)")
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole quotient of integers, never by way of DOUBLE."""
+    return F.call_function("div", a, b)
+
+
 def _units(n: Column, unit: int) -> Column:
     """``n / unit`` rounded half away from zero, both integers."""
     if unit == 1:
         return n
-    shifted = F.abs(n) + unit // 2
-    whole = F.round((shifted - shifted % unit) / unit).cast("bigint")
+    whole = _div(F.abs(n) + unit // 2, F.lit(unit).cast("bigint"))
     return F.when(n < 0, -whole).otherwise(whole)
 
 
@@ -38,21 +51,21 @@ def amount(n: str | Column, places: int = 2) -> Column:
     return _units(_col(n), 10 ** (2 - places)).cast("double") / float(10**places)
 
 
-def exact_sum(c: str | Column, places: int = 1) -> Column:
-    """Sum of amounts, rounded once at the end."""
-    return amount(F.sum(cents(c)), places)
+def exact_sum(c: str | Column, places: int = 1, scale: int = SCALE) -> Column:
+    """Sum of amounts, rounded once at the end. Rows count with ``scale`` decimals."""
+    total = F.sum(scaled(c, scale)) * F.lit(Decimal(1).scaleb(-scale))
+    return F.round(total, places).cast("double")
 
 
-def mean_half_up(total: str | Column, n: str | Column, places: int = 1) -> Column:
-    """``total / n`` rounded half up, ``total`` in cents; NULL where ``n`` is 0.
+def mean_half_up(total: str | Column, n: str | Column, places: int = 1, scale: int = 2) -> Column:
+    """``total / n`` rounded half up, ``total`` in units of ``10 ** -scale``; NULL where ``n`` is 0.
 
     In integers, because the rounding of a DOUBLE quotient decides ties by accident.
     """
     total, n = _col(total), _col(n).cast("bigint")
-    step = 2 * 10 ** (2 - places) * n
-    reach = 2 * F.abs(total) + 10 ** (2 - places) * n
-    steps = F.round((reach - reach % step) / step)
-    return F.when(n > 0, F.signum(total) * steps / float(10**places))
+    step = 10 ** (scale - places)
+    steps = _div(2 * F.abs(total) + step * n, F.when(n > 0, 2 * step * n)).cast("double")
+    return F.when(n > 0, F.signum(total).cast("double") * steps / float(10**places))
 
 
 def net_cents(price: str | Column, discount: str | Column) -> Column:
@@ -109,12 +122,23 @@ def iso_seconds(c: str | Column) -> Column:
     return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss")
 
 
+_WINDOW = re.compile(r"\s*(\d{1,2}):00\s*-\s*(\d{1,2}):00\s*")
+
+
 def hours_in(windows: Iterable[str]) -> set[int]:
-    """Whole hours covered by windows such as ``07:00-09:00``; the end is not included."""
+    """Whole hours covered by windows such as ``07:00-09:00``; the end is not included.
+
+    A window whose end is not after its start goes on over midnight: ``22:00-02:00`` has four
+    hours. Windows that do not start and end on the hour are refused.
+    """
     hours: set[int] = set()
     for window in windows:
-        start, end = (int(part.strip().split(":")[0]) for part in window.split("-"))
-        hours |= set(range(start, end))
+        found = _WINDOW.fullmatch(window)
+        if not found or max(int(found[1]), int(found[2])) > 24:
+            raise ValueError(f"not a window of whole hours: {window!r}")
+        start, end = int(found[1]), int(found[2])
+        length = end - start if end >= start else end - start + 24
+        hours |= {(start + i) % 24 for i in range(length)}
     return hours
 
 

@@ -16,7 +16,9 @@ def psi(
     One row per bin with both shares and the bin's part of the index, plus the total and the
     alert flag on each row. Only the cut points and one count per bin leave the big tables.
     An empty bin counts as a share of 0.0001. ``exact=False`` takes the cut points from a quantile
-    sketch, which saves the sort of the baseline's distinct values.
+    sketch, which saves the sort of the baseline's distinct values. Without current values every
+    share of the current sample counts as that of an empty bin; without a baseline there are no cut
+    points and all current values fall into one bin.
     """
     marks = [i / bins for i in range(1, bins)]
     if exact:
@@ -39,7 +41,7 @@ def psi(
     every = Window.partitionBy()  # one row per bin
 
     def share(c):
-        return F.greatest(F.col(c).cast("double") / F.sum(c).over(every), F.lit(0.0001))
+        return F.greatest(F.try_divide(F.col(c).cast("double"), F.sum(c).over(every)), F.lit(0.0001))
 
     b, c = share("base_rows"), share("cur_rows")
     parts = both.withColumn("_part", (c - b) * F.log(c / b))

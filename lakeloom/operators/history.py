@@ -27,7 +27,8 @@ def scd2(
     """Apply a snapshot taken at ``ts`` to a history with valid_from, valid_to, is_current.
 
     A changed row closes the open version and opens one; a new key opens one; an unchanged row
-    stays. Keys absent from the snapshot stay open unless ``close_missing``.
+    stays. Keys absent from the snapshot stay open unless ``close_missing``. A snapshot that is
+    not newer than the open version of a key does not touch that key.
     """
     keys, attrs = list(keys), list(attrs)
     at = F.lit(ts).cast("timestamp_ntz")
@@ -35,8 +36,9 @@ def scd2(
     now = new.select(*keys, F.struct(*attrs).alias("_new"))
     open_now = history.filter("is_current").select(*keys, "valid_from", F.struct(*attrs).alias("_old"))
     pair = open_now.join(now, keys, "full_outer")
-    changed = F.col("_old").isNotNull() & F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
-    gone = F.col("_new").isNull() & F.lit(close_missing)
+    newer = F.coalesce(F.col("valid_from") < at, F.lit(True))
+    changed = F.col("_old").isNotNull() & F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new")) & newer
+    gone = F.col("_new").isNull() & F.lit(close_missing) & newer
     none = F.lit(None).cast("timestamp_ntz")
 
     def version(row, start, end, current):

@@ -6,6 +6,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    CharType,
+    DataType,
+    DateType,
+    DayTimeIntervalType,
+    MapType,
+    NullType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VarcharType,
+    YearMonthIntervalType,
+)
 
 from ..functions import exact_sum
 
@@ -53,18 +71,33 @@ def _all_set(cols: Sequence[str]) -> Column:
     return known
 
 
+def _extra_bytes(c: Column, kind: DataType) -> Column | None:
+    """Bytes of a value beyond 8, or None for types of fixed width."""
+    if isinstance(kind, (StringType, BinaryType, CharType, VarcharType)):
+        return F.octet_length(c)
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+        return 8 * F.greatest(F.size(c), F.lit(0))
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.octet_length(F.to_json(F.struct(c.alias("v"))))
+    if isinstance(kind, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType, NullType, DayTimeIntervalType, YearMonthIntervalType)):
+        return None
+    return F.lit(BROADCAST_BYTES)  # of an unknown size: a few rows already count as too big
+
+
 def small_ones(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
     """Which frames are at most ``limit`` bytes, measured in one job over all of them.
 
-    Fixed-width columns count 8 bytes a row, text its length. A frame without text columns is
-    only counted, which a plain Parquet table answers from its file footers.
+    Every column counts 8 bytes a row, text and binary columns also their length, nested ones the
+    length of their elements or of their JSON form. A frame of fixed-width columns is only counted,
+    which a plain Parquet table answers from its file footers.
     """
     sizes = None
     for i, df in enumerate(frames):
-        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
         size = F.count(F.lit(1)) * 8 * len(df.columns)
-        for c in texts:
-            size = size + F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+        for f in df.schema.fields:
+            extra = _extra_bytes(F.col(f"`{f.name}`"), f.dataType)
+            if extra is not None:
+                size = size + F.coalesce(F.sum(extra), F.lit(0))
         one = df.agg(F.lit(i).alias("i"), size.alias("bytes"))
         sizes = one if sizes is None else sizes.unionByName(one)
     found = {row["i"]: row["bytes"] for row in sizes.collect()} if frames else {}  # one row per frame
@@ -122,21 +155,26 @@ def star_join(
     how: str = "left",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Attach columns of several dimensions: ``(dimension, key, columns)`` each.
+    """Attach columns of several dimensions: ``(dimension, key, columns)`` each, all joined ``how``."""
+    return chain_join(fact, [(dim.select(key, *cols), key, how) for dim, key, cols in lookups], limit)
+
+
+def chain_join(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Join sides that are unique on their key to ``fact``, one after the other: ``(side, key, how)`` each.
 
-    One job counts the dimensions; small ones are broadcast. The hot keys of all others are found
-    in one pass over the fact table.
+    One job measures the sides; small ones are broadcast. The hot keys of all others are found in
+    one pass over ``fact`` as it is given, so no join is run to find the keys of the next one. The
+    keys must be columns of ``fact``.
     """
-    small = small_ones([dim.select(key, *cols) for dim, key, cols in lookups], limit)
-    big_keys = [key for (_, key, _), s in zip(lookups, small) if not s]
+    small = small_ones([side for side, _, _ in joins], limit)
+    big_keys = [key for (_, key, _), s in zip(joins, small) if not s]
     hot = iter(hot_keys(fact, [[k] for k in big_keys]) if big_keys else [])
-    for (dim, key, cols), is_small in zip(lookups, small):
-        dim = dim.select(key, *cols)
+    for (side, key, how), is_small in zip(joins, small):
         if is_small:
-            out = fact.columns + list(cols)
-            fact = fact.join(F.broadcast(dim), key, how).select(*out)
+            out = fact.columns + [c for c in side.columns if c != key]
+            fact = fact.join(F.broadcast(side), key, how).select(*out)
         else:
-            fact = spread_join(fact, dim, [key], how, next(hot))
+            fact = spread_join(fact, side, [key], how, next(hot))
     return fact
 
 
@@ -169,7 +207,13 @@ def orphans(fact: DataFrame, source: DataFrame, fact_id: str, key: str, source_r
 def unmatched(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """Fact rows whose non-NULL reference has no row in ``dim``; the reference comes first."""
     listed = dim.select(on).distinct().withColumn("_listed", F.lit(True))
-    found = spread_join(fact.filter(F.col(on).isNotNull()), listed, [on])
+    named = fact.filter(F.col(on).isNotNull())
+    # The dimension is measured as it is: its distinct keys are computed by the join only.
+    (small,) = small_ones([dim.select(on)])
+    if small:
+        found = named.join(F.broadcast(listed), on, "left")
+    else:
+        found = spread_join(named, listed, [on], hot=hot_keys(named, [[on]])[0])
     return found.filter(F.col("_listed").isNull()).select(on, *[c for c in fact.columns if c != on])
 
 

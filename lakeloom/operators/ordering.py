@@ -61,8 +61,11 @@ def dense_key(df: DataFrame, order: str | Sequence[str], out: str, start: int |
 
 
 def extend_keys(df: DataFrame, existing: DataFrame, id_col: str, out: str) -> DataFrame:
-    """Keep the keys in ``existing (id_col, out)`` and number only new ids, after the highest."""
-    fresh = df.select(id_col).distinct().join(existing.select(id_col), id_col, "left_anti")
+    """Keep the keys in ``existing (id_col, out)`` and number only new ids, after the highest.
+
+    A NULL id is no id and gets no key.
+    """
+    fresh = df.select(id_col).filter(F.col(id_col).isNotNull()).distinct().join(existing.select(id_col), id_col, "left_anti")
     top = existing.agg(F.coalesce(F.max(out), F.lit(0)) + 1).scalar()
     return existing.select(out, id_col).unionByName(dense_key(fresh, id_col, out, top))
 

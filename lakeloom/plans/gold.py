@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_columns, cents, date_key, mask_email, mean_half_up
+from ..functions import calendar_columns, date_key, mask_email, mean_half_up, scaled
+from ..functions.columns import SCALE
 from ..operators.dedup import latest_attrs
-from ..operators.joins import lookup, order_totals, spread_join, star_join
+from ..operators.joins import chain_join, order_totals, star_join
 from ..operators.ordering import dense_key
 from .layers import Tables
 
@@ -95,8 +96,8 @@ def fact_orders(orders: DataFrame, items: DataFrame, customers: DataFrame, store
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order line that has an order."""
     days = orders.select("order_id", date_key("order_date").alias("order_date_key"))
-    keyed = star_join(items, [(products, "product_id", ["product_key"])])
-    keyed = spread_join(keyed, days, ["order_id"], "inner")
+    named = products.select("product_id", "product_key")
+    keyed = chain_join(items, [(named, "product_id", "left"), (days, "order_id", "inner")])
     return keyed.select(
         "order_item_id",
         "order_id",
@@ -179,15 +180,15 @@ def customer_features(
         recent = recent.filter(F.col("status") == status)
     recent = recent.select("order_id", "customer_id")
 
-    lines = spread_join(items.select("order_id", "product_id", "line_amount"), recent, ["order_id"], "inner")
     named = products.select("product_id", "category", F.lit(1).alias("_listed"))
-    lines = lookup(lines, named, "product_id", ["category", "_listed"])
+    lines = items.select("order_id", "product_id", "line_amount")
+    lines = chain_join(lines, [(recent, "order_id", "inner"), (named, "product_id", "left")])
 
     # One pass over the lines for both groupings: orders of a customer, categories of a customer.
     sets = lines.groupingSets(
         [["customer_id", "order_id"], ["customer_id", "category"]], "customer_id", "order_id", "category"
     ).agg(
-        F.sum(cents("line_amount")).alias("total"),
+        F.sum(scaled("line_amount")).alias("total"),
         F.count("_listed").alias("listed"),
         (F.grouping("category") == 1).alias("is_order"),
     )
@@ -199,7 +200,8 @@ def customer_features(
         .agg(
             F.count_if(order).alias("n_orders"),
             F.sum(F.when(order, F.col("total") * weight)).alias("weighted"),
-            F.sum(F.when(order, weight)).alias("weight"),
+            # As in any average, an order without an amount does not count.
+            F.sum(F.when(order & F.col("total").isNotNull(), weight)).alias("weight"),
             F.count_if(~order & F.col("category").isNotNull()).alias("n_categories"),
         )
     )
@@ -208,7 +210,7 @@ def customer_features(
         "customer_id",
         stamp_day.cast("timestamp_ntz").alias("event_timestamp"),
         F.col("n_orders").alias("f_total_orders_90d"),
-        mean_half_up("weighted", "weight").alias("f_avg_order_value_90d"),
+        mean_half_up("weighted", "weight", scale=SCALE).alias("f_avg_order_value_90d"),
         F.col("n_categories").alias("f_distinct_categories_90d"),
     )
 

@@ -42,12 +42,17 @@ def get_spark(app: str = "lakeloom", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (single-machine tests) a temporary folder is made.
+    A session on one machine may go without the setting: then a temporary folder is made, once per
+    session. On a cluster that folder would be a different disk for every executor, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if base is None:
-        base = context.getCheckpointDir() or tempfile.mkdtemp(prefix="lakeloom-")
+        base = context.getCheckpointDir()
+    if base is None:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="lakeloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return base

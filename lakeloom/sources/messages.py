@@ -11,7 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions import iso_seconds
 from ..operators.ordering import write_order
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+ISO = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]"  # up to nine decimals; Spark keeps six
+BLANK = " \t\n\x0b\x0c\r"
 
 
 def encode_json(df: DataFrame, time_cols: Sequence[str] = (), times: str = "seconds") -> Column:
@@ -28,7 +29,7 @@ def decode_json(df: DataFrame, col: str, schema: StructType) -> tuple[DataFrame,
     object goes to ``bad`` with its text unchanged; blank lines are skipped. Both halves work on
     batch and streaming frames.
     """
-    lines = df.filter(F.length(F.trim(col)) > 0)
+    lines = df.filter(F.length(F.btrim(F.col(col), F.lit(BLANK))) > 0)
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_corrupt",
@@ -41,7 +42,7 @@ def decode_json(df: DataFrame, col: str, schema: StructType) -> tuple[DataFrame,
     parsed = lines.select("*", F.explode(F.array(F.from_json(col, marked, options))).alias("_v"))
     # Only lines that did not parse cleanly are parsed again, to tell a wrong field from a broken line.
     broken = F.col("_v._corrupt").isNotNull() & F.try_parse_json(col).isNull()
-    readable = F.ltrim(col).startswith("{") & ~broken
+    readable = F.btrim(F.col(col), F.lit(BLANK)).startswith("{") & ~broken
     others = [c for c in df.columns if c != col]
     fields = [F.col(f"_v.{f.name}").alias(f.name) for f in schema.fields]
     return parsed.filter(readable).select(*others, *fields), parsed.filter(~readable).select(*df.columns)

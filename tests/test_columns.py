@@ -74,8 +74,25 @@ def test_hour_windows_leave_out_the_end(spark):
 
 @given(st.lists(st.tuples(st.integers(0, 22), st.integers(1, 23)), max_size=4))
 def test_hour_windows_cover_each_hour_once(windows):
+    """A window that ends before it starts goes on over midnight."""
     texts = [f"{a:02d}:00-{b:02d}:00" for a, b in windows]
-    assert hours_in(texts) == {h for a, b in windows for h in range(a, b)}
+    assert hours_in(texts) == {h % 24 for a, b in windows for h in range(a, b if b >= a else b + 24)}
+
+
+@pytest.mark.parametrize("window", ["07:30-09:00", "7-9", "25:00-26:00", ""])
+def test_other_windows_are_refused(window):
+    with pytest.raises(ValueError):
+        hours_in([window])
+
+
+def test_small_amounts_add_up(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert df.select(exact_sum("v", 2)).first()[0] == 4.0
+    assert spark.range(3).select(exact_sum(F.lit(1e12), 2)).first()[0] == 3e12
+
+
+def test_whole_numbers_are_not_divided_by_way_of_double(spark):
+    assert spark.range(1).select(amount(F.lit(900719925474099377), 1)).first()[0] == 90071992547409938 / 10
 
 
 def test_lookup_with_default_and_ids(spark):
