@@ -7,16 +7,19 @@ not compared all with all:
    that share that gram form a segment. Equal windows have equal grams, so only segments whose
    gram occurs twice in the corpus can hold a repeated window. This leaves few segments.
 2. Segments with equal bytes collapse to the first one. All windows of the others are repeats.
-3. The different segments of one gram may still share windows. Segments are put into bins by their
-   gram, and the suffixes of a bin are sorted by inserting one symbol of every segment per round, from the
+3. The different segments of one gram may still share windows, which then have the gram at the same
+   offset. So their windows are dealt into ``SLABS`` by this offset. All windows of a slab have
+   their inner ``SHARED`` bytes in common, and only slabs that agree in these go on. Equal slabs
+   collapse like equal segments.
+4. What is left, different slabs that agree inside, is put into bins, and the suffixes of a bin are sorted by inserting one symbol of every segment per round, from the
    last to the first: the Burrows-Wheeler transform of the suffixes known so far gives the places of
    the new ones, and their common prefixes with both neighbours follow from prefixes already known.
    Suffixes in a row with a common prefix of ``LENGTH`` are equal windows; all but the earliest
    are repeats.
 
 The sequential files of the column-wise construction are arrays of a bin here: bins have a bounded
-size, so nothing is written to a machine's own disk. A gram with more different segments than
-``HOT`` does not go into a bin: its windows are grouped by digest, one row each, which has no bound
+size, so nothing is written to a machine's own disk. Inner bytes with more different slabs than
+``HOT`` do not go into a bin: their windows are grouped by digest, one row each, which has no bound
 to keep.
 
 Cases: a NULL text is empty; texts below ``LENGTH`` bytes lose nothing. A NULL id counts as the
@@ -32,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +49,11 @@ LENGTH = 100  # bytes of a repeat
 GRAM = 24  # bytes of the grams that name a window
 PIECE = 1 << 16  # windows of a long text that are looked at together
 CHUNK = 1 << 17  # bytes of several texts looked at together; positions have this many values
-BIN_BYTES = 4 << 20  # segments of a bin, on average
-HOT = 10_000  # different segments of one gram from which on windows are grouped by digest
+SLABS = 4
+WIDTH = (LENGTH - GRAM) // SLABS  # offsets in a slab; the last one has the offset LENGTH - GRAM too
+SHARED = LENGTH - WIDTH  # bytes that the windows of a slab have in common, about
+BIN_BYTES = 1 << 20  # slabs of a bin, on average
+HOT = 5_000  # different slabs with the same inner bytes from which on windows are grouped by digest
 LIST_BYTES = 48 << 20  # lists of positions up to this size are sent to every executor
 
 _FIRST = -(1 << 63)  # stands for a NULL id
@@ -60,12 +67,12 @@ _START = np.uint8(255)  # stands before the first symbol; no UTF-8 text has this
 def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Segments of at most ``CHUNK`` bytes, in which texts end at ``ends``.
 
-    Gram hash, hash of the segment's bytes, first window and number of windows of each.
+    Gram hash, hash of the segment's bytes, first window, number of windows and place of the gram of each.
     """
-    none = np.zeros(0, np.uint64)
+    none, zero = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n = len(data)
     if n < LENGTH:
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, zero, zero, zero
     up, down = _power_tables(CHUNK + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
@@ -87,11 +94,11 @@ def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     opens[1:] &= ~inside[:-1] | (place[1:] != place[:-1])
     starts = np.flatnonzero(opens)
     if not len(starts):
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, zero, zero, zero
     counts = np.add.reduceat(inside.astype(np.int64), starts)
     stops = starts + counts + LENGTH - 1
     whole = _mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
-    return grams[place[starts]], whole, starts, counts
+    return grams[place[starts]], whole, starts, counts, place[starts]
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, int]], np.ndarray]]:
@@ -116,13 +123,13 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, in
 
 
 def _of_texts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Gram, content hash, text number, start in the text and number of windows of all segments."""
+    """Gram, content hash, text number, start in the text, number of windows and gram's place of all segments."""
     for data, named, ends in _chunks(texts):
-        gram, whole, starts, counts = segments(data, ends)
+        gram, whole, starts, counts, places = segments(data, ends)
         piece = np.searchsorted(ends, starts, side="right")
         numbers = np.array([n for n, _ in named], dtype=np.int64)
         offsets = np.array([o for _, o in named], dtype=np.int64) - np.concatenate([[0], ends[:-1]])
-        yield gram.view(np.int64), whole.view(np.int64), numbers[piece], starts + offsets[piece], counts
+        yield gram.view(np.int64), whole.view(np.int64), numbers[piece], starts + offsets[piece], counts, places + offsets[piece]
 
 
 def _bytes(texts: pa.Array) -> list[bytes]:
@@ -139,13 +146,59 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy()
-        for gram, whole, number, start, count in _of_texts(_bytes(batch.column(1))):
+        for gram, whole, number, start, count, _ in _of_texts(_bytes(batch.column(1))):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram), pa.array(whole), pa.array(ids[number]), pa.array(start * 256 + count)],
-                ["gram", "content", "id", "place"],
+                ["key", "content", "id", "place"],
             )
 
 
+def _slab_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slabs of the listed segments: key of the inner bytes, content hash, id and place."""
+    for batch in batches:
+        ids, texts = batch.column(0).to_numpy(), _bytes(batch.column(1))
+        wanted = [set(map(int, x.split(","))) for x in batch.column(2).to_pylist()]
+        keys, contents, owners, places = [], [], [], []
+        for _, _, number, start, count, gram in _of_texts(texts):
+            for n, first, windows, p in zip(number.tolist(), start.tolist(), count.tolist(), gram.tolist()):
+                if first not in wanted[n]:
+                    continue
+                text = texts[n]
+                for slab in range((p - first - windows + 1) // WIDTH, min(SLABS - 1, (p - first) // WIDTH) + 1):
+                    # Windows whose gram is at the offsets lo to hi.
+                    lo, hi = slab * WIDTH, slab * WIDTH + WIDTH - 1 if slab < SLABS - 1 else LENGTH - GRAM
+                    a, z = max(first, p - hi), min(first + windows - 1, p - lo)
+                    if a > z:
+                        continue
+                    keys.append(_signed(xxhash.xxh3_64_intdigest(text[p - lo : p - hi + LENGTH], seed=slab)))
+                    contents.append(_signed(xxhash.xxh3_64_intdigest(text[a : z + LENGTH])))
+                    owners.append(int(ids[n]))
+                    places.append(a * 256 + z - a + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, contents, owners, places)], ["key", "content", "id", "place"])
+
+
+def _slab_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of listed slabs (key, place), cut from the texts."""
+    for batch in batches:
+        keys, owners, starts, parts = [], [], [], []
+        for id_, text, listed in zip(batch.column(0).to_pylist(), _bytes(batch.column(1)), batch.column(2).to_pylist()):
+            marks = list(map(int, listed.split(",")))
+            for key, place in zip(marks[::2], marks[1::2]):
+                a, n = place >> 8, place & 255
+                keys.append(key)
+                owners.append(id_)
+                starts.append(a)
+                parts.append(text[a : a + n + LENGTH - 1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(parts, pa.binary())],
+            ["key", "id", "start", "bytes"],
+        )
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 # --- 3: suffix order of a bin -----------------------------------------------------------------
 
 
@@ -154,6 +207,7 @@ def _least_between(prefixes: np.ndarray, starts: np.ndarray, stops: np.ndarray)
     if not len(starts):
         return np.zeros(0, prefixes.dtype)
     order = np.argsort(-starts, kind="stable")
+    # Pairs are looked at from right to left, so what lies between two of them is never read.
     bounds = np.empty(2 * len(starts), dtype=np.int64)
     bounds[::2], bounds[1::2] = starts[order], stops[order]
     found = np.empty(len(starts), prefixes.dtype)
@@ -171,7 +225,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> t
     """
     n = len(starts)
     stops = starts + lengths
-    known = stops.astype(np.int64).copy()  # suffixes as offsets into data; first the empty ones
+    known = stops.astype(np.int32)  # suffixes as offsets into data; first the empty ones
     prefix = np.zeros(n, np.uint8)
     bwt = data[stops - 1].copy()
     latest = np.arange(n)  # where the last suffix of every string is
@@ -180,7 +234,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> t
         live = live[lengths[live] >= depth]
         at = latest[live]
         order = np.argsort(bwt, kind="stable")  # positions by the symbol before them
-        first = np.searchsorted(bwt[order], np.arange(257))
+        first = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=256))])
         symbol = bwt[at]
         by_place = np.lexsort((at, symbol))
         live, at, symbol = live[by_place], at[by_place], symbol[by_place]
@@ -264,27 +318,6 @@ def _with_list(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(lists) if small else lists, "id", how)
 
 
-def _contested(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``gram``, ``id``, ``start``, ``bytes`` of the segments in ``firsts (id, place)``, cut from the texts."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), _bytes(batch.column(1))
-            wanted = [set(map(int, x.split(","))) for x in batch.column(2).to_pylist()]
-            for gram, _, number, start, count in _of_texts(texts):
-                keep = [s in wanted[n] for n, s in zip(number.tolist(), start.tolist())]
-                gram, number, start, count = (x[keep] for x in (gram, number, start, count))
-                pieces = [texts[n][s : s + c + LENGTH - 1] for n, s, c in zip(number.tolist(), start.tolist(), count.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram), pa.array(ids[number]), pa.array(start), pa.array(pieces, pa.binary())],
-                    ["gram", "id", "start", "bytes"],
-                )
-
-    lists = _listed(firsts, F.array(F.shiftright("place", 8))).checkpoint()
-    chosen = _with_list(docs, lists, "inner").select("id", "text", "listed")
-    return chosen.mapInArrow(cut, "gram bigint, id bigint, start bigint, bytes binary")
-
-
 def _by_digest(rows: DataFrame) -> DataFrame:
     """Spans of repeated windows by a digest per window, for grams with very many segments."""
 
@@ -305,30 +338,54 @@ def _by_digest(rows: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``id``, ``lo``, ``hi`` (end exclusive) of repeated bytes in ``docs (id, text)``; spans may overlap."""
-    counts = docs.mapInArrow(_gram_counts, "gram bigint, n bigint")
-    twice = staged(counts.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "grams")
-    rows = docs.mapInArrow(_segment_rows, "gram bigint, content bigint, id bigint, place bigint")
-    rows = staged(rows.join(twice, "gram", "left_semi"), "segments")
-    firsts = rows.groupBy("gram", "content").agg(F.min(F.struct("id", "place")).alias("first"))
-    firsts = firsts.checkpoint()
-    # All windows of a later copy of a segment are repeats.
-    copies = rows.join(firsts, ["gram", "content"]).filter(F.struct("id", "place") != F.col("first"))
-    lo, n = F.shiftright("place", 8), F.col("place").bitwiseAND(F.lit(255).cast("bigint"))
-    copies = copies.select("id", lo.alias("lo"), (lo + n + LENGTH - 1).alias("hi"))
-    # Different segments of one gram may share windows.
-    several = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    contested = firsts.join(several, "gram").select("first.id", "first.place").distinct()
-    cut = staged(_contested(docs, contested), "contested")
-    hot = several.filter(F.col("n") > HOT).select("gram").checkpoint()
+    counts = docs.mapInArrow(_gram_counts, "key bigint, n bigint")
+    twice = staged(counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"), "grams")
+    rows = docs.mapInArrow(_segment_rows, _ROWS)
+    copies, firsts = _collapsed(staged(rows.join(twice, "key", "left_semi"), "segments"))
+    lists = _listed(firsts.select("id", "place").distinct(), F.array(F.shiftright("place", 8))).checkpoint()
+    slabs = _with_list(docs, lists, "inner").select("id", "text", "listed").mapInArrow(_slab_rows, _ROWS)
+    more, firsts = _collapsed(staged(slabs, "slabs"))
+    lists = _listed(firsts, F.array("key", "place")).checkpoint()
+    cut = _with_list(docs, lists, "inner").select("id", "text", "listed")
+    cut = staged(cut.mapInArrow(_slab_bytes, "key bigint, id bigint, start bigint, bytes binary"), "contested")
+    hot = cut.groupBy("key").count().filter(F.col("count") > HOT).select("key").checkpoint()
     size = cut.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)).cast("bigint")).first()[0]
-    binned = cut
-    spans = copies
+    spans, binned = copies.unionByName(more), cut
     if not hot.isEmpty():
-        binned = cut.join(hot, "gram", "left_anti")
-        spans = spans.unionByName(_by_digest(cut.join(hot, "gram", "left_semi")))
-    bins = binned.withColumn("bin", F.pmod(F.xxhash64("gram"), F.lit(max(1, -(-size // BIN_BYTES)))))
-    found = bins.groupBy("bin").applyInArrow(_in_bin, "id bigint, lo bigint, hi bigint")
-    return spans.unionByName(found)
+        binned = cut.join(hot, "key", "left_anti")
+        spans = spans.unionByName(_by_digest(cut.join(hot, "key", "left_semi")))
+    bins = binned.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(max(1, -(-size // BIN_BYTES)))))
+    return spans.unionByName(bins.groupBy("bin").applyInArrow(_in_bin, "id bigint, lo bigint, hi bigint"))
+
+
+_ROWS = "key bigint, content bigint, id bigint, place bigint"
+
+
+def _collapsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with equal key and content collapse to the first.
+
+    The spans of all others, which are repeats as a whole, and those firsts (key, id, place)
+    whose key has several contents.
+    """
+    firsts = rows.groupBy("key", "content").agg(F.min(F.struct("id", "place")).alias("first")).checkpoint()
+    lo, n = F.shiftright("place", 8), F.col("place").bitwiseAND(F.lit(255).cast("bigint"))
+    copies = rows.join(firsts, ["key", "content"]).filter(F.struct("id", "place") != F.col("first"))
+    copies = copies.select("id", lo.alias("lo"), (lo + n + LENGTH - 1).alias("hi"))
+    several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    return copies, firsts.join(several, "key").select("key", "first.id", "first.place")
+
+
+def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted, overlapping spans of an id joined."""
+    for batch in batches:
+        short = []
+        for listed in batch.column(1).to_pylist():
+            marks = np.fromstring(listed, dtype=np.int64, sep=",")
+            lo, hi = marks[::2], np.maximum.accumulate(marks[1::2])
+            opens = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
+            lasts = np.append(opens[1:], len(lo)) - 1
+            short.append(",".join(map(str, np.stack([lo[opens], hi[lasts]], axis=1).ravel().tolist())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.string())], ["id", "listed"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -342,9 +399,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         numbers = dense_key(told, ["id", "hash"], "number")
         plain = plain.withColumn("hash", F.xxhash64("text")).join(numbers, ["id", "hash"])
         plain = plain.select("own", "text", F.col("number").alias("id"))
-    spans = repeated_spans(plain.select("id", "text")).distinct()
-    lists = _listed(spans, F.array("lo", "hi"))
-    joined = _with_list(plain, lists.checkpoint(), "left").select("own", "text", "listed")
+    spans = repeated_spans(plain.select("id", "text"))
+    lists = _listed(spans, F.array("lo", "hi")).mapInArrow(_joined_spans, "id bigint, listed string").checkpoint()
+    joined = _with_list(plain, lists, "left").select("own", "text", "listed")
 
     def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
