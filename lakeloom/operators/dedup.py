@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -72,8 +72,3 @@ def dedup_report(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows_after"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("rows_dropped"),
     )
-
-
-def null_out(when: Column, c: str) -> Column:
-    """The column, but NULL where the condition holds."""
-    return F.when(~F.coalesce(when, F.lit(False)), F.col(c))

@@ -21,17 +21,35 @@ from .cleaning import CLOCKS, EVENT_SCHEMA
 LATENESS = "2 hours"  # above the longest delay in the events, so no window loses a row
 
 
+BATCHES = 4  # files of a stream, one per micro-batch, so that state and watermark carry over
+
+
 def _event_lines(spark, d):
     path = scratch(spark, "event-lines")
-    write_ndjson(raw.raw_events(spark, d), path, CLOCKS, ["created_ts", "event_id"])
+    events = raw.raw_events(spark, d)
+    write_ndjson(events, path, CLOCKS, ["created_ts", "event_id"], rows_per_file=-(-events.count() // BATCHES))
     return path
 
 
 def _event_stream(spark, d):
-    good, _ = decode_json(file_lines(spark, _event_lines(spark, d)), "value", EVENT_SCHEMA)
+    good, _ = decode_json(file_lines(spark, _event_lines(spark, d), 1), "value", EVENT_SCHEMA)
     return good
 
 
+def stream_quarantine(spark, d):
+    """Every seventh line cut short: readable and unreadable lines from one query, counted per output."""
+    path = scratch(spark, "broken-lines")
+    lines = spark.read.text(_event_lines(spark, d))
+    number = F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("bigint")
+    cut = F.when(number % 7 == 0, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    lines.select(cut.alias("value")).write.text(path)
+    out, bad, state = (scratch(spark, f"captured-{n}") for n in ("good", "bad", "state"))
+    for query in ingest_events(file_lines(spark, path, 1), EVENT_SCHEMA, "event_timestamp", out, state, quarantine=bad):
+        query.awaitTermination()
+    good = spark.read.parquet(out).agg(F.lit("good").alias("output"), F.count(F.lit(1)).alias("lines"))
+    return good.unionByName(spark.read.parquet(bad).agg(F.lit("bad").alias("output"), F.count(F.lit(1)).alias("lines")))
+
+
 def _plain_times(df, *cols):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -39,7 +57,7 @@ def _plain_times(df, *cols):
 def stream_raw_append(spark, d):
     """Raw capture: copies and late rows stay."""
     out, state = scratch(spark, "raw-events"), scratch(spark, "raw-events-state")
-    for query in ingest_events(file_lines(spark, _event_lines(spark, d)), EVENT_SCHEMA, "event_timestamp", out, state):
+    for query in ingest_events(file_lines(spark, _event_lines(spark, d), 1), EVENT_SCHEMA, "event_timestamp", out, state):
         query.awaitTermination()
     return _plain_times(spark.read.parquet(out), "event_timestamp").drop("ingest_ts")
 
@@ -90,7 +108,7 @@ def stream_interval_join(spark, d):
     orders = sides["orders"].select("order_id", "order_timestamp", "status")
     paid = sides["payments"].select("order_id", "payment_timestamp", "payment_status", "amount")
     pairs = interval_join(
-        orders, paid, ["order_id"], "order_timestamp", "payment_timestamp", "0 seconds", "5 minutes"
+        orders, paid, ["order_id"], "order_timestamp", "payment_timestamp", "0 seconds", "5 minutes", bucket=600
     )
     out = scratch(spark, "order-payment-pairs")
     append_to_table(pairs, out, scratch(spark, "order-payment-state")).awaitTermination()
@@ -121,6 +139,12 @@ QUERIES = {
               FROM raw_events, range(2) AS t(k) WHERE customer_id IS NOT NULL)
         GROUP BY w, customer_id""",
     ),
+    "stream_quarantine": (
+        stream_quarantine,
+        """
+        SELECT CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE 'good' END AS output, count(*) AS lines
+        FROM raw_events GROUP BY 1""",
+    ),
     "stream_dedup": (stream_dedup, "SELECT * FROM " + _SECONDS.format(table="clean_events")),
     "stream_interval_join": (
         stream_interval_join,

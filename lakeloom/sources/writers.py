@@ -73,11 +73,13 @@ def write_monthly(df: DataFrame, date_col: str, path: str, launch: str, late_col
         gathered(part, "ym").write.mode("append").partitionBy("ym").parquet(path)
 
 
-def write_ndjson(df: DataFrame, path: str, time_cols: Sequence[str], order: Sequence[str] = ()) -> None:
+def write_ndjson(
+    df: DataFrame, path: str, time_cols: Sequence[str], order: Sequence[str] = (), rows_per_file: int = 0
+) -> None:
     """JSON lines without NULL fields, times in ISO seconds, optionally in a global order."""
     if order:
         df = write_order(df, order)
-    df.select(encode_json(df, time_cols).alias("value")).write.mode("overwrite").text(path)
+    df.select(encode_json(df, time_cols).alias("value")).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def write_section(df: DataFrame, path: str, section: str) -> None:

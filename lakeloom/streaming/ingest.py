@@ -77,9 +77,23 @@ def ingest_events(
     every: str | None = None,
     quarantine: str | None = None,
 ) -> list[StreamingQuery]:
-    """Raw capture of a message stream; unreadable lines go to ``quarantine`` if given."""
-    good, bad = decode_events(lines, schema, ts, lateness)
-    started = [append_to_table(good, path, f"{checkpoint}/good", every)]
-    if quarantine:
-        started.append(append_to_table(bad, quarantine, f"{checkpoint}/bad", every))
-    return started
+    """Raw capture of a message stream; unreadable lines go to ``quarantine`` if given.
+
+    Good and bad lines come from one query, so the source is read once and one consumer group is
+    enough. Both outputs then have one folder per micro-batch (``epoch=...``), which a repeated
+    micro-batch replaces.
+    """
+    if not quarantine:
+        good, _ = decode_events(lines, schema, ts, lateness)
+        return [append_to_table(good, path, f"{checkpoint}/good", every)]
+
+    def split(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()  # read by both writes
+        good, bad = decode_events(batch, schema, ts, lateness)
+        good.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        bad.write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch}")
+        batch.unpersist()
+
+    writer = lines.writeStream.option("checkpointLocation", f"{checkpoint}/both").foreachBatch(split)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return [writer.start()]

@@ -5,14 +5,11 @@ Every function takes a batch or a streaming frame.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
-
-import pyarrow as pa
+from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import seconds_between
 from .ingest import with_watermark
 
 
@@ -45,9 +42,12 @@ def interval_join(
     high: str,
     lateness: str = "5 minutes",
     how: str = "inner",
+    bucket: int | None = None,
 ) -> DataFrame:
     """Pairs of one key with ``left_ts + low <= right_ts <= left_ts + high``.
 
+    With ``bucket`` (seconds, inner joins only) rows are also matched by time bucket, a left row
+    once for each bucket its interval touches: a key with very many rows then spreads over time.
     Both sides keep only the rows that can still match. ``left_outer`` emits a left row without
     partner once the watermark has passed its interval.
     """
@@ -59,29 +59,23 @@ def interval_join(
     )
     for c, renamed in names.items():
         cond = cond & (F.col(c) == F.col(renamed))
-    return a.join(r, cond, how).drop(*names.values())
-
+    if not bucket:
+        return a.join(r, cond, how).drop(*names.values())
+    if how != "inner":
+        raise ValueError("time buckets are for inner joins")
 
-def first_in_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop repeated keys within each Arrow batch of a task, before any shuffle.
-
-    Streaming dedup sends every row to the task of its key; this keeps a key with very many
-    copies from filling that task.
-    """
-    keys = list(keys)
+    def slot(when: Column) -> Column:
+        return F.floor(F.unix_seconds(when) / F.lit(bucket))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table({k: batch.column(k) for k in keys} | {"_row": pa.array(range(batch.num_rows), pa.int64())})
-            first = rows.group_by(keys).aggregate([("_row", "min")])["_row_min"].combine_chunks()
-            yield batch.take(first.sort())
-
-    return df.mapInArrow(run, df.schema)
+    lo, hi = (slot(F.col(left_ts) + F.expr(f"INTERVAL {x}")) for x in (low, high))
+    a = a.withColumn("_slot", F.explode(F.sequence(lo, hi)))
+    r = r.withColumn("_r_slot", slot(F.col(right_ts)))
+    return a.join(r, cond & (F.col("_slot") == F.col("_r_slot")), how).drop(*names.values(), "_slot", "_r_slot")
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = "5 minutes") -> DataFrame:
     """First arrival per key; a key is remembered for ``lateness`` of event time."""
-    return with_watermark(first_in_batch(df, keys), ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+    return with_watermark(df, ts, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 def split_late(df: DataFrame, ts: str, created: str, allowed: int) -> tuple[DataFrame, DataFrame]:
@@ -91,10 +85,6 @@ def split_late(df: DataFrame, ts: str, created: str, allowed: int) -> tuple[Data
     return df.filter(~late), df.filter(late)
 
 
-def delay_seconds(ts: str, created: str) -> Column:
-    return seconds_between(ts, created)
-
-
 def upsert_stream(
     df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

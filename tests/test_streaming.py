@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.dedup import latest_per_key
 from lakeloom.streaming.ingest import append_to_table, file_lines, ingest_events
-from lakeloom.streaming.stateful import dedup_stream, epoch_writer, first_in_batch, interval_join, split_late, tumbling, upsert_stream
+from lakeloom.streaming.stateful import dedup_stream, epoch_writer, interval_join, split_late, tumbling, upsert_stream
 
 T0 = dt.datetime(2025, 1, 1, 8)
 
@@ -106,6 +106,7 @@ def test_interval_join_inner_and_left(spark, tmp_path, rows):
     b = spark.createDataFrame(paid, "o int, pts timestamp_ntz, s string")
     args = (["o"], "ots", "pts", "0 seconds", "5 minutes")
     assert rows(interval_join(a, b, *args), "o", "s") == [(1, "ok")]
+    assert rows(interval_join(a, b, *args, bucket=60), "o", "s") == [(1, "ok")]
     for name, df in (("a", a), ("b", b)):
         df.write.parquet(str(tmp_path / name))
     stream = {n: spark.readStream.schema(df.schema).parquet(str(tmp_path / n)) for n, df in (("a", a), ("b", b))}
@@ -129,11 +130,3 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, rows):
         write(spark.createDataFrame([("k", value)], "k string, v int"), epoch)
     got = latest_per_key(spark.read.parquet(str(tmp_path / "u")), ["k"], ["epoch"])
     assert rows(got, "k", "v") == [("k", 2)]
-
-
-def test_copies_shrink_before_the_shuffle(spark, rows):
-    df = spark.range(30_000, numPartitions=3).selectExpr("IF(id % 3 = 0, NULL, id) AS k", "CAST(id AS STRING) AS v")
-    slim = first_in_batch(df, ["k"])
-    assert slim.filter("k IS NULL").count() <= 6
-    assert rows(slim.filter("k IS NOT NULL")) == rows(df.filter("k IS NOT NULL"))
-    assert slim.schema == df.schema
