@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from .checks import gold_checks
 from .gold import build_facts, dim_customer, dim_date, dim_employee, dim_product, dim_store
 from .layers import build_silver, load_bronze
 
+WRITES = 4  # tables of a stage that are written at a time
+
 RUN = "position INT, stage STRING, status STRING, attempts INT, seconds DOUBLE, rows_written BIGINT, message STRING"
 EDGE = "input STRING, output STRING, stage STRING"
 
@@ -65,7 +68,10 @@ def retail_stages(spark: SparkSession, sources: Mapping[str, str], out: str) ->
         return {t: spark.read.parquet(f"{out}/{layer}/{t}") for t in tables}
 
     def save(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, int]:
-        return {t: write_table(df, f"{out}/{layer}/{t}") for t, df in tables.items()}
+        # Independent tables: a few writes at a time keep the executors busy between small stages.
+        with ThreadPoolExecutor(max_workers=WRITES) as pool:
+            written = {t: pool.submit(write_table, df, f"{out}/{layer}/{t}") for t, df in tables.items()}
+        return {t: job.result() for t, job in written.items()}
 
     def bronze():
         return save("bronze", load_bronze(spark, sources))
