@@ -144,8 +144,10 @@ def lineage_edges(spark, d):
 
 def merge_by_event_time(spark, d):
     """Incremental merge by (entity, event time): the later version of a pair wins, new pairs come in."""
-    events = raw.table(spark, d, "events").select("user_id", "ts", "event_id", "value")
-    changes = events.filter("event_id % 10 = 0").select("user_id", "ts", (F.col("event_id") + 1_000_000).alias("event_id"), "value")
+    events = raw.table(spark, d, "events")
+    purchases = events.filter("event_type = 'purchase'")
+    events = events.select("user_id", "ts", "event_id", "value")
+    changes = purchases.select("user_id", "ts", (F.col("event_id") + 1_000_000).alias("event_id"), "value")
     merged = upsert(events, changes, ["user_id", "ts"], ["event_id"])
     return merged.groupBy("user_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum("event_id").alias("ids"))
 
@@ -230,7 +232,7 @@ QUERIES = {
     "merge_by_event_time": (
         merge_by_event_time,
         """SELECT user_id, count(*) AS pairs, sum(id)::BIGINT AS ids FROM (
-               SELECT user_id, ts, max(CASE WHEN event_id % 10 = 0 THEN event_id + 1000000 ELSE event_id END) AS id
+               SELECT user_id, ts, max(CASE WHEN event_type = 'purchase' THEN event_id + 1000000 ELSE event_id END) AS id
                FROM events GROUP BY user_id, ts) GROUP BY user_id""",
     ),
     "freshness_and_volume": (

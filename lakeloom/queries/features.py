@@ -59,7 +59,11 @@ def historical_features_left(spark, d):
 
 
 def feature_export(spark, d):
-    return views.export_features(features_90d(spark, d), ["customer_id"])
+    """Today's snapshot and an older one in one table: the newest row per customer is exported."""
+    today = features_90d(spark, d)
+    older = today.withColumn("event_timestamp", F.col("event_timestamp") - F.expr("INTERVAL 1 DAY"))
+    older = older.withColumn("f_total_orders_90d", F.col("f_total_orders_90d") + 100)
+    return views.export_features(older.unionByName(today), ["customer_id"])
 
 
 def materialize_latest(spark, d):
@@ -67,7 +71,7 @@ def materialize_latest(spark, d):
 
 
 def online_lookup(spark, d):
-    wanted = raw.table(spark, d, "customer").filter("c_custkey % 7 = 0").select(F.col("c_custkey").alias("user_id"))
+    wanted = raw.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
     return views.online_lookup(materialize_latest(spark, d), wanted, DAY_VIEW)
 
 
@@ -117,8 +121,7 @@ QUERIES = {
         online_lookup,
         f"""
         SELECT c.c_custkey AS user_id, f.f_events, f.f_value
-        FROM customer c LEFT JOIN ({_LATEST.format(lo=START, hi=END)}) f ON c.c_custkey = f.user_id
-        WHERE c.c_custkey % 7 = 0""",
+        FROM customer c LEFT JOIN ({_LATEST.format(lo=START, hi=END)}) f ON c.c_custkey = f.user_id""",
     ),
     "online_refresh": (online_refresh, _LATEST.format(lo="2024-01-01", hi=END)),
     "rolling_60m": (
