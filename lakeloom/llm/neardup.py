@@ -324,8 +324,9 @@ def near_duplicates(
     labels = components(links).checkpoint()
     more = _rest(buckets, labels, signs, docs, id_col, text_col, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
     if not more.isEmpty():
-        links = links.unionByName(confirmed(more, docs, id_col, text_col, similarity)).checkpoint()
-        labels = components(links)
+        # The components found so far stand for their links.
+        known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        labels = components(known.unionByName(confirmed(more, docs, id_col, text_col, similarity)))
     roots = members.distinct().join(labels, F.col("rep") == F.col("node"), "left").select(
         "id", "class", F.coalesce("root", "rep").alias("root")
     )
