@@ -71,7 +71,7 @@ def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str =
     and a number.
     """
     shared_dir(docs.sparkSession)
-    h, size = unused(docs, "_hash"), unused(docs, "_bytes")
+    h, size, prefix, level, end, one = (unused(docs, c) for c in ("_hash", "_bytes", "_prefix", "_depth", "_end", "_one"))
     sized = docs.withColumn(h, hash_of(id_col)).withColumn(size, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint"))
     hashes = sized.groupBy(F.col(h).alias("h")).agg(F.sum(size).alias("bytes")).checkpoint()
     over = hashes.filter(F.col("bytes") > limit).select(F.col("h").alias(h))
@@ -84,9 +84,9 @@ def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str =
     depth = F.lit(None).cast("int")
     for bits, table in tables:
         (small,) = small_ones([table], MAP_BYTES)
-        named = table.select(F.col("p").alias("_p"), F.col("depth").alias(f"_d{bits}"))
-        placed = placed.withColumn("_p", _prefix(F.col(h), bits)).join(F.broadcast(named) if small else named, "_p", "left").drop("_p")
-        depth = F.coalesce(depth, F.col(f"_d{bits}"))
+        named = table.select(F.col("p").alias(prefix), F.col("depth").alias(f"{level}{bits}"))
+        placed = placed.withColumn(prefix, _prefix(F.col(h), bits)).join(F.broadcast(named) if small else named, prefix, "left").drop(prefix)
+        depth = F.coalesce(depth, F.col(f"{level}{bits}"))
     bits_text = F.substring(F.lpad(F.bin(h), HASH_BITS, "0"), F.lit(1), depth)
     kept = [c for c in docs.columns if c != out]
     regular = placed.select(*kept, F.struct(bits_text.alias("name"), depth.alias("depth"), F.col(size).alias("bytes")).alias(out))
@@ -95,13 +95,13 @@ def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str =
     # Overflow: starting points in one running order; half the limit per shard, so the last document fits too.
     rows = sized.join(F.broadcast(over) if small else over, h, "left_semi")
     half = max(1, limit // 2)
-    little = running_sum(rows.filter(F.col(size) <= half), size, [h, size], "_end")
-    start = F.col("_end") - F.col(size)
+    little = running_sum(rows.filter(F.col(size) <= half), size, [h, size], end)
+    start = F.col(end) - F.col(size)
     number = F.concat(F.lit("o"), F.call_function("div", start, F.lit(half).cast("bigint")))
     large = rows.filter(F.col(size) > half)
-    large = running_sum(large.withColumn("_one", F.lit(1).cast("bigint")), "_one", [h, size], "_end")
+    large = running_sum(large.withColumn(one, F.lit(1).cast("bigint")), one, [h, size], end)
     shape = lambda df, name: df.select(*kept, F.struct(name.alias("name"), F.lit(-1).alias("depth"), F.col(size).alias("bytes")).alias(out))
-    return regular.unionByName(shape(little, number)).unionByName(shape(large, F.concat(F.lit("l"), F.col("_end") - 1)))
+    return regular.unionByName(shape(little, number)).unionByName(shape(large, F.concat(F.lit("l"), F.col(end) - 1)))
 
 
 def write_shards(assigned: DataFrame, path: str, shard_col: str = "shard") -> None:
