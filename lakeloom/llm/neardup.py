@@ -254,8 +254,10 @@ def _rest(
     members = (
         placed.join(signs.select("rep", "n", *SIGNATURE), "rep")
         .withColumn("level", F.floor(F.ln("n") / step).cast("int"))
+        .checkpoint()  # read by every kind of block below
     )
     ways = members.groupBy("key", "level").agg(F.ceil(F.count(F.lit(1)) / float(BLOCK)).cast("int").alias("ways"))
+    ways = ways.checkpoint()
     mine = F.pmod(F.xxhash64("rep"), F.col("ways")).cast("int")
     # Within a level: block (i, j) with i <= j. With the level below: every own block with every lower one.
     own = members.join(ways, ["key", "level"]).withColumn("i", mine)
