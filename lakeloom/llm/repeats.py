@@ -347,7 +347,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     more, firsts = _collapsed(staged(slabs, "slabs"))
     lists = _listed(firsts, F.array("key", "place")).checkpoint()
     cut = _with_list(docs, lists, "inner").select("id", "text", "listed")
-    cut = staged(cut.mapInArrow(_slab_bytes, "key bigint, id bigint, start bigint, bytes binary"), "contested")
+    cut = cut.mapInArrow(_slab_bytes, "key bigint, id bigint, start bigint, bytes binary")
+    # Rows that repeat a document list its slabs again, which must not count as repeats of themselves.
+    cut = staged(cut.dropDuplicates(["key", "id", "start"]), "contested")
     hot = cut.groupBy("key").count().filter(F.col("count") > HOT).select("key").checkpoint()
     size = cut.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)).cast("bigint")).first()[0]
     spans, binned = copies.unionByName(more), cut

@@ -96,3 +96,15 @@ def test_suffix_order():
         for (x, *_), (y, *_) in zip(order, order[1:]):
             common.append(next((k for k, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y))))
         assert prefix.tolist() == common
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])
+def test_repeated_rows_around_a_passage_in_other_surroundings(spark, monkeypatch, hot):
+    """Slabs with equal inner bytes and different contents, of documents that come several times."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = np.random.RandomState(12)
+    passage = text(rng, 180)
+    rows = [(i, text(rng, 90) + passage + text(rng, 90)) for i in range(6)]
+    found = removed(spark, rows + rows[:3] + rows[:1] * 5)
+    assert len(found) == 14 and dict(found) == brute(rows)
+    assert all(r == dict(found)[i] for i, r in found)
