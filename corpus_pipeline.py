@@ -41,23 +41,34 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def _mixed(docs: DataFrame, out: str) -> DataFrame:
+    """``docs`` with their slots; the same ones for the same documents."""
+    return mixing.mix(docs, mixing.damped_weights(docs, "source"), "doc_id", "source", out=out)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, written in the order of their slots: part files follow one another."""
     mark = unused(docs, "mix")
-    weights = mixing.damped_weights(docs, "source")
-    mixed = mixing.mix(docs, weights, "doc_id", "source", out=mark)
-    return mixing.in_mixed_order(mixed, mark).select(*docs.columns)
+    return mixing.in_mixed_order(_mixed(docs, mark), mark).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and whether they decode to it again."""
-    ids, back = unused(docs, "token_ids"), unused(docs, "decoded")
-    coded = bpe.decode(bpe.encode(docs, "text", vocabulary(), ids), ids, vocabulary(), back)
+    """Ids of every text, whether they decode to it again, and the document's slot and place in the mix.
+
+    A reader that packs files anew loses the order in which the mixing stage wrote them, so the
+    result has it as columns: sorted by ``slot`` (NULLs last) and ``place`` it is the mix.
+    """
+    docs = docs.select("doc_id", "lang", "source", "n_chars", "text")
+    placed = _mixed(docs, "mix").select("*", "mix.slot", "mix.place")
+    ids, back = "token_ids", "decoded"
+    coded = bpe.decode(bpe.encode(mixing.in_mixed_order(placed, "mix"), "text", vocabulary(), ids), ids, vocabulary(), back)
     return coded.select(
         "doc_id", "lang", "source", "n_chars", "text",
         F.size(ids).cast("bigint").alias("n_tokens"),
         F.col(ids).alias("token_ids"),
         (F.col(back) == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "slot",
+        "place",
     )
 
 

@@ -1,10 +1,12 @@
 """The pipeline against stage-by-stage checks and a brute-force version of its first two stages."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import pii
+from lakeloom.llm import mixing, pii
 from lakeloom.llm.queries import vocabulary
 
 from ..compare import DATA
@@ -60,6 +62,21 @@ def test_tokens(frames):
         assert r.token_ids == tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids and r.round_trip
 
 
+def test_result_has_the_mix(frames):
+    """Sorted by slot and place, each source is less than a block away from its share."""
+    rows = frames[5].select("doc_id", "source", "slot", "place").collect()
+    plan = {r.doc_id: r.mix for r in mixing.mix(frames[4], mixing.damped_weights(frames[4], "source")).collect()}
+    assert len(rows) == len(plan) and all((r.slot, r.place) == (plan[r.doc_id].slot, plan[r.doc_id].place) for r in rows)
+    assert len({(r.slot, r.place) for r in rows}) == len(rows)
+    counts = Counter(r.source for r in rows)
+    total = sum(n**0.7 for n in counts.values())
+    slots = {s: sorted({r.slot for r in rows if r.source == s}) for s in counts}
+    assert len(slots) > 1 and max(map(len, slots.values())) > 1
+    for t in range(1, min(x[-1] for x in slots.values()) + 1):
+        for s, n in counts.items():
+            assert abs(sum(x < t for x in slots[s]) - t * n**0.7 / total) < 1.01
+
+
 def test_run_and_edges(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, ledger string, spans int, mix int, ids int"
     text = " ".join(f"word{i}" for i in range(40))
