@@ -8,7 +8,10 @@ spread are content. The smallest element around the content then gives the artic
 it is kept, in page order, also a short line or a heading whose own path is light.
 
 Elements whose tag, role or class names them as menu, header, footer, sidebar, notice, advert,
-form, script, style or reader comments take no part in any of it.
+form, script, style or reader comments take no part in any of it. A class or id names an element if
+it consists of such words only, and the element does not hold the page's ``main``. Where such a word is
+a part of a longer name (``has-sidebar``, ``related-work``), only blocks without an article are
+judged, and they go only if they hold little of the content by the ratios of the whole page.
 
 Cases: a NULL or empty page, and one without text in its body, gives the empty text. Unclosed and
 misnested tags are read as browsers do for paragraphs, list items and cells; a tag cut off at the
@@ -48,6 +51,7 @@ SKIPPED_NAMES = frozenset(
 )
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 CONTAINERS = frozenset("article main section div td body html".split())
+JUDGED = frozenset("div section ul ol dl table".split())  # elements that a part of a longer name may name
 
 #: A start tag closes these open elements first, up to the given bounds.
 CLOSES = {
@@ -60,6 +64,7 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 SPREAD = 0.1  # share of the standard deviation of the fused ratio that a path must reach
+LITTLE = 0.1  # share of a page's content up to which a block with a doubtful name may go
 SMOOTHING = 1.0  # standard deviation of the smoothing window, in text nodes
 
 _TAG = re.compile(
@@ -70,38 +75,87 @@ _TAG = re.compile(
     r"|<[!?/]?[a-zA-Z][^>]*+\Z",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"']|\Z)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'][^\s]*)?)?""")  # whole ones, so that none is found inside a value
 _NAME = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，！？…،؟]")
 
 
-def _skipped(tag: str, attributes: str, open_tags: list[str]) -> bool:
-    """Whether an element is no part of any article."""
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values of a start tag; of attributes with the same name the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'").lower())
+    return found
+
+
+def _skipped(tag: str, attributes: dict[str, str], open_tags: list[str]) -> bool:
+    """Whether an element is no part of any article, by its tag, its role or because it is hidden."""
     if tag in SKIPPED_TAGS:
         return True
     if tag == "header" and not {"article", "main"} & set(open_tags):
         return True
     if not attributes or tag in ("article", "main", "body", "html"):
         return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'").lower()
-        match name.lower():
-            case "hidden":
-                return True
-            case "aria-hidden" if value == "true":
-                return True
-            case "style" if "display:none" in value.replace(" ", ""):
-                return True
-            case "role" if value in SKIPPED_ROLES:
-                return True
-            case "class" | "id" if not SKIPPED_NAMES.isdisjoint(_NAME.findall(value)):
-                return True
-    return False
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden") == "true"
+        or "display:none" in attributes.get("style", "").replace(" ", "")
+        or attributes.get("role") in SKIPPED_ROLES
+    )
+
+
+def _named(tag: str, attributes: dict[str, str]) -> bool | None:
+    """Whether a class or the id names an element to be left out: True as a whole, False by a part of it only."""
+    if tag in ("article", "main", "body", "html"):
+        return None
+    part = None
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = _NAME.findall(name)
+        if words and SKIPPED_NAMES.issuperset(words):
+            return True
+        if tag in JUDGED and not SKIPPED_NAMES.isdisjoint(words):
+            part = False
+    return part
 
 
 def text_nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[int, ...], str]]:
     """Text nodes outside skipped elements: block number, path of tags, path of element numbers, text."""
+    nodes, named, holders = _read(html)
+    nodes = _without(nodes, {n for n, whole in named.items() if whole and "main" not in holders[n]})
+    doubtful = {n for n, whole in named.items() if not whole and not holders[n]}
+    filled = [n for n in nodes if n[3] != " "]
+    if not doubtful or not filled:
+        return nodes
+    content = content_paths(filled)
+    size: dict[int, int] = defaultdict(int)
+    weight: dict[int, int] = defaultdict(int)
+    total = 0
+    for _, path, numbers, text in filled:
+        total += len(text) * (path in content)
+        for n in doubtful.intersection(numbers):
+            size[n] += len(text)
+            weight[n] += len(text) * (path in content)
+    return _without(nodes, {n for n in doubtful if 2 * weight[n] < size[n] and weight[n] < LITTLE * total})
+
+
+def _without(nodes: list[tuple], left_out: set[int]) -> list[tuple]:
+    """Nodes outside the given elements; what is left out within a block separates words."""
+    if not left_out:
+        return nodes
+    kept: list[tuple] = []
+    for node in nodes:
+        if left_out.isdisjoint(node[2]):
+            kept.append(node)
+        elif kept and kept[-1][0] == node[0]:
+            kept.append((*kept[-1][:3], " "))
+    return kept
+
+
+def _read(html: str) -> tuple[list[tuple], dict[int, bool], dict[int, set[str]]]:
+    """Text nodes of a page; elements that a class or id names; which of article and main these hold."""
     nodes = []
+    named: dict[int, bool] = {}
+    holders: dict[int, set[str]] = {}
     tags: list[str] = []
     numbers: list[int] = []
     skips: list[bool] = []
@@ -120,7 +174,7 @@ def text_nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[int, ...], s
         found = _TAG.search(html, at)
         text(html[at : found.start()] if found else html[at:])
         if not found:
-            return nodes
+            return nodes, named, holders
         at = found.end()
         slash, name, attributes = found.groups()
         if not name:
@@ -152,7 +206,15 @@ def text_nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[int, ...], s
         if name == "body" and "head" in tags:
             close(tags.index("head"))
         element += 1
-        skips.append((skips[-1] if skips else False) or _skipped(name, attributes, tags))
+        values = _attributes(attributes) if attributes else {}
+        skips.append((skips[-1] if skips else False) or _skipped(name, values, tags))
+        if not skips[-1]:
+            whole = _named(name, values)
+            if whole is not None:
+                named[element], holders[element] = whole, set()
+            if name in ("article", "main"):
+                for n in named.keys() & set(numbers):
+                    holders[n].add(name)
         tags.append(name)
         numbers.append(element)
         if name in RAW:

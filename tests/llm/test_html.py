@@ -40,6 +40,42 @@ def test_edges(html, text):
     assert main_text(html) == text
 
 
+PROSE = "".join(f"<p>A sentence, with some words, number {i}. And one more; it is longer.</p>" for i in range(8))
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'href="/hidden/gem"', 'title="hidden costs"', 'data-hidden="false"', 'href="?id=search"', "href=/x?class=ad", 'data-x="a" title=\'class="ad"\'',
+        'class="ad-free"', 'class="search-term"', 'class="a" class="ad"',
+    ],
+)
+def test_attributes_are_read_as_wholes(attributes):
+    assert "the whole of it" in main_text(f"<article>{PROSE}<p>And so, <a {attributes}>the whole of it</a>, here.</p></article>")
+    assert "the whole of it" in main_text(f"<article>{PROSE}<p {attributes}>And so, the whole of it, here.</p></article>")
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', "data-x='hidden' hidden", 'role = "menu"', 'style="display: none"', "class='x ad'", "class=ad", 'id="comments"'])
+def test_attributes_that_leave_out(attributes):
+    assert "gone" not in main_text(f"<body><div>{PROSE}<div {attributes}><p>It is, as they say, gone.</p></div></div></body>")
+
+
+@pytest.mark.parametrize("attributes", ['class="layout has-sidebar"', 'class="ad-free"', 'class="no-comments"', 'id="related-work"'])
+def test_words_in_longer_names(attributes):
+    for inner in (f"<article>{PROSE}</article>", PROSE, "Short text"):
+        plain = main_text(f"<body><div>{inner}</div></body>")
+        assert plain and main_text(f"<body><div {attributes}>{inner}</div></body>") == plain
+    parts = f"<section>{PROSE * 4}</section><section {attributes}><h2>Others</h2><p>Some had, before us, done it.</p></section>"
+    assert main_text(f"<article>{parts}</article>").endswith("Others\n\nSome had, before us, done it.")
+
+
+def test_named_blocks_of_links():
+    links = "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(20))
+    page = f"<body><div>{PROSE}<div class='site-nav'><ul>{links}</ul></div><ul class='related-posts'>{links}</ul></div></body>"
+    assert "Link" not in main_text(page) and main_text(page).count("A sentence") == 8
+    assert main_text(f"<body><div class='menu'><main>{PROSE}</main></div></body>").count("A sentence") == 8
+
+
 def test_paths_without_semantic_names():
     """Ratios alone tell paragraphs from a list of links."""
     links = "<div><span>" + "</span><span>".join(f"Link {i}" for i in range(20)) + "</span></div>"
