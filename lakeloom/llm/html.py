@@ -263,8 +263,8 @@ def main_text(html: str | None) -> str:
             place[number] = (depth, tag)
             if path in content:
                 weight[number] += len(text)
-    # The deepest container that holds nearly all of the content, or the article it lies in.
-    held = [n for n, w in weight.items() if w >= 0.9 * total and place[n][1] in CONTAINERS]
+    # The deepest container that holds all of the content, or the article it lies in.
+    held = [n for n, w in weight.items() if w == total and place[n][1] in CONTAINERS]
     root = max(held, key=lambda n: place[n][0]) if held else None
     if root is not None:
         above = next(numbers for _, _, numbers, _ in filled if root in numbers)

@@ -69,6 +69,15 @@ def test_words_in_longer_names(attributes):
     assert main_text(f"<article>{parts}</article>").endswith("Others\n\nSome had, before us, done it.")
 
 
+def test_content_in_containers_of_unequal_size():
+    lead = "<p>A lead, short as it is; it belongs to the story.</p>"
+    for tag in ("div", "section", "article"):
+        short, long = f"<{tag}>{lead}</{tag}>", f"<{tag}>{PROSE * 6}</{tag}>"
+        for page in (short + long, long + short):
+            text = main_text(f"<body><nav>Menu, here.</nav><div>{page}</div></body>")
+            assert text.count("A lead") == 1 and text.count("A sentence") == 48 and "Menu" not in text
+
+
 def test_named_blocks_of_links():
     links = "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(20))
     page = f"<body><div>{PROSE}<div class='site-nav'><ul>{links}</ul></div><ul class='related-posts'>{links}</ul></div></body>"
