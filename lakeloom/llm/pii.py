@@ -8,13 +8,15 @@
    the score reaches the threshold of its kind; it is dropped if it overlaps a base span or a
    better candidate.
 
-The trees are fitted here, on the candidates of at most ``SAMPLE`` documents (those with the
-smallest hashes of their texts among documents with a digit or an ``@``). No labels of people are
+The trees are fitted here. A hash of the whole text holds every third text out. Of the others, about
+``SAMPLE`` different texts are drawn for every kind, half of them among those with a positive and half
+among those with another candidate of the kind, so rare kinds are learned too. No labels of people are
 needed: spans that pass a base detector, or tokens assigned to a name such as ``password``, are
 positive. Each gives further examples in its own context: altered forms that are still personal
 (a phone number without its country code, a token without the name before it) and broken ones
-that are not (a wrong check digit, a number over 255, a missing domain). Thresholds are set on
-held-out documents: the lowest score at which ``PRECISION`` of the taken candidates are right.
+that are not (a wrong check digit, a number over 255, a missing domain). Thresholds are set on all
+different held-out texts, by counts per step of the score: the lowest one from which on ``PRECISION`` of
+the candidates are right. A kind that has none adds no spans; ``Model.silent`` and a warning name it.
 
 Cases: a NULL or empty text has no spans. If the sample has no two kinds of labels (an empty or tiny table), there
 is no model and only base spans are found. Rows, repeated rows and other columns stay as they are;
@@ -24,7 +26,9 @@ a column with the name of the result is replaced. Offsets are code points, ends
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +41,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 KINDS = ("email", "ip", "card", "phone", "secret")
-SAMPLE = 4000  # documents whose candidates the trees are fitted on
+SAMPLE = 4000  # different texts of each kind whose candidates the trees are fitted on, about
+STEPS = 10_000  # of the score, in which held-out candidates are counted
 TREES, DEPTH = 20, 3
 PRECISION = 0.98
 CONTEXT = 24  # characters looked at before a candidate
@@ -182,16 +187,23 @@ def _window(text: str, start: int, end: int) -> tuple[str, str]:
     return text[max(0, start - CONTEXT) : start], text[end : end + 2]
 
 
-def examples(text: str) -> list[tuple[str, list[float], float]]:
-    """Kind, features and label of the candidates of a text, with their variants."""
+def labelled(text: str) -> list[tuple[str, int, int, bool]]:
+    """Candidates of a text and whether they are positive, without parts of other base spans."""
     base = set(base_spans(text))
     found = []
     for kind, start, end in candidates(text):
+        good = (kind, start, end) in base or kind == "secret" and bool(_ASSIGNED.search(text[max(0, start - CONTEXT) : start]))
+        # A part of another base span is neither a good nor a bad example.
+        if not any(k != "card" and s <= start and end <= e and (k, s, e) != (kind, start, end) for k, s, e in base):
+            found.append((kind, start, end, good))
+    return found
+
+
+def examples(text: str) -> list[tuple[str, list[float], float]]:
+    """Kind, features and label of the candidates of a text, with their variants."""
+    found = []
+    for kind, start, end, good in labelled(text):
         span, (before, after) = text[start:end], _window(text, start, end)
-        good = (kind, start, end) in base or kind == "secret" and bool(_ASSIGNED.search(before))
-        inside = any(k != "card" and s <= start and end <= e and (k, s, e) != (kind, start, end) for k, s, e in base)
-        if inside:
-            continue  # a part of another base span: neither a good nor a bad example
         found.append((kind, features(kind, span, before, after), float(good)))
         if good:
             found += [(kind, features(kind, s, b, after), float(p)) for s, b, p in _variants(kind, span, before) if s]
@@ -209,6 +221,11 @@ class Model:
     trees: list[list[tuple]]  # of each node: (feature, threshold, left, right) or (None, value)
     thresholds: dict[str, float]
 
+    @property
+    def silent(self) -> tuple[str, ...]:
+        """Kinds without a threshold: only their base spans are found."""
+        return tuple(k for k in KINDS if k not in self.thresholds)
+
     def score(self, x: list[float]) -> float:
         total = 0.0
         for weight, nodes in zip(self.weights, self.trees):
@@ -226,7 +243,7 @@ class Model:
         for kind, start, end in candidates(text) if self.trees else ():
             if kind in self.thresholds and not any(s < end and start < e for _, s, e in base):
                 value = self.score(features(kind, text[start:end], *_window(text, start, end)))
-                if value >= self.thresholds[kind]:
+                if int(value * STEPS) >= round(self.thresholds[kind] * STEPS):
                     scored.append((-value, start, -end, kind))
         taken: list[tuple[int, int]] = []
         for _, start, end, kind in sorted(scored):
@@ -246,34 +263,49 @@ def _flat(node) -> list[tuple]:
     return [(split.featureIndex(), split.threshold(), 1, 1 + len(left)), *moved(left, 1), *moved(right, 1 + len(left))]
 
 
+def _place(hash_: int) -> float:
+    """Where a text lies between 0 and 1 by its hash, apart from the remainder that holds it out."""
+    return (hash_ >> 16 & 0xFFFFFFFF) / (1 << 32)
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
-    """Trees and thresholds from a bounded sample of ``docs``."""
+    """Trees from a bounded sample of ``docs``, thresholds from all of its held-out texts."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
     shared_dir(docs.sparkSession)
+    texts = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("hash"))
+    held_out = F.pmod("hash", F.lit(3)) == 0
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, g, h) for t, h in zip(*(c.to_pylist() for c in batch.columns)) for k, g in {(k, g) for k, _, _, g in labelled(t)}]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["kind", "good", "hash"])
+
+    # Different texts of each group, so that copies do not fill the sample.
+    counts = texts.filter(~held_out).mapInArrow(groups, "kind string, good boolean, hash bigint").groupBy("kind", "good")
+    shares = {(r.kind, r.good): SAMPLE / 2 / r.n for r in counts.agg(F.approx_count_distinct("hash").alias("n")).collect()}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held = float(sum(map(ord, text[:64])) % 3 == 0)  # every third document is held out
-                some = examples(text)
-                if some:
-                    kinds, values, labels = zip(*some)
+            for text, hash_ in zip(*(c.to_pylist() for c in batch.columns)):
+                place = _place(hash_)
+                if place < most and any(place < shares.get((k, g), 1.0) for k, _, _, g in labelled(text)):
+                    _, values, labels = zip(*examples(text))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(kinds, pa.string()),
+                            pa.array([hash_] * len(labels), pa.int64()),
+                            pa.array(range(len(labels)), pa.int32()),
                             pa.array(values, pa.list_(pa.float64())),
                             pa.array(labels, pa.float64()),
-                            pa.array([held] * len(some), pa.float64()),
                         ],
-                        ["kind", "values", "label", "held"],
+                        ["hash", "nth", "values", "label"],
                     )
 
-    sample = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    sample = sample.orderBy(F.xxhash64("text")).limit(SAMPLE)
-    found = sample.mapInArrow(rows, "kind string, values array<double>, label double, held double").checkpoint()
-    fitted = found.filter("held = 0")
+    most = max(shares.values(), default=0.0)
+    drawn = texts.filter(~held_out).mapInArrow(rows, "hash bigint, nth int, values array<double>, label double")
+    fitted = drawn.dropDuplicates(["hash", "nth"]).select("values", "label").checkpoint()
     if fitted.agg(F.count_distinct("label")).first()[0] < 2:
         return Model([], [], {})
     grower = GBTClassifier(
@@ -283,22 +315,39 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     result = Model(
         [float(w) for w in model.treeWeights], [_flat(t._call_java("rootNode")) for t in model.trees], {}
     )
-    held = found.filter("held = 1").toPandas()  # bounded like the sample
-    held["score"] = [result.score(list(v)) for v in held["values"]]
-    result.thresholds = _thresholds(held)
+    result.thresholds = _thresholds(_scored(texts.filter(held_out), result))
+    if result.silent:
+        logging.getLogger(__name__).warning("no threshold, only base spans: %s", ", ".join(result.silent))
     return result
 
 
-def _thresholds(held: pd.DataFrame) -> dict[str, float]:
-    """Per kind, the lowest held-out score from which on ``PRECISION`` of the candidates are right."""
+def _scored(texts: DataFrame, model: Model) -> pd.DataFrame:
+    """``kind``, ``step`` of the score, ``n`` candidates and how many of them are ``right``, over different texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, hash_ in zip(*(c.to_pylist() for c in batch.columns)):
+                count = Counter((kind, int(shared.value.score(values) * STEPS), label) for kind, values, label in examples(text))
+                rows += [(hash_, *key, n) for key, n in count.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["hash", "kind", "step", "label", "n"])
+
+    counts = texts.mapInArrow(steps, "hash bigint, kind string, step bigint, label double, n bigint").dropDuplicates(["hash", "kind", "step", "label"])
+    # At most STEPS rows of a kind.
+    return counts.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right")).toPandas()
+
+
+def _thresholds(counts: pd.DataFrame) -> dict[str, float]:
+    """Per kind, the lowest step of the held-out scores from which on ``PRECISION`` of the candidates are right."""
     found = {}
-    for kind, rows in held.groupby("kind"):
-        rows = rows.sort_values("score", ascending=False, kind="stable")
-        right = rows["label"].cumsum() / np.arange(1, len(rows) + 1)
-        last = ~rows["score"].duplicated(keep="last")  # equal scores are taken together
-        good = rows["score"][(right >= PRECISION) & last & (rows["score"] > 0.5)]
+    for kind, rows in counts.groupby("kind"):
+        rows = rows.sort_values("step", ascending=False)
+        right = rows["right"].cumsum() / rows["n"].cumsum()
+        good = rows["step"][(right >= PRECISION) & (2 * rows["step"] >= STEPS)]
         if len(good):
-            found[kind] = float(good.min())
+            found[str(kind)] = int(good.min()) / STEPS
     return found
 
 

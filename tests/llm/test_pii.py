@@ -98,3 +98,17 @@ def test_empty_table_has_no_model(spark):
     model = pii.fit(empty)
     assert model.trees == [] and pii.find(empty, model).collect() == []
     assert model.spans("a@b.cd") == [("email", 0, 6, True)]
+
+
+def test_rare_kind_among_many_other_documents(spark, monkeypatch):
+    """Digits everywhere, one group of copies, one opening: secrets are still learned and held out."""
+    monkeypatch.setattr(pii, "SAMPLE", 60)
+    rng = np.random.RandomState(3)
+    opening = "The same long opening of each and every document in this whole table. "
+    mails = [f"{opening}Item {i}, mail user{i}@site{i % 7}.org or call +1 234 555 {1000 + i}." for i in range(3000)]
+    secrets = [f"{opening}Note {i}: api_token: {''.join(rng.choice(list('0123456789abcdef'), 32))} ends." for i in range(40)]
+    frame = spark.createDataFrame([(t,) for t in mails + secrets + [mails[0]] * 2000], "text string")
+    model = pii.fit(frame)
+    assert "secret" in model.thresholds and set(model.silent) == set(pii.KINDS) - set(model.thresholds)
+    token = "".join(rng.choice(list("0123456789abcdef"), 32))
+    assert [(k, base) for k, _, _, base in model.spans(f"Other text, api_token: {token} too.")] == [("secret", False)]
