@@ -45,6 +45,7 @@ SAMPLE = 4000  # different texts of each kind whose candidates the trees are fit
 STEPS = 10_000  # of the score, in which held-out candidates are counted
 TREES, DEPTH = 20, 3
 PRECISION = 0.98
+LONG = (100, 300, 1600)  # lengths of further examples of tokens, so that long ones are not taken for odd
 CONTEXT = 24  # characters looked at before a candidate
 SPAN = "struct<kind:string,start:int,end:int,base:boolean>"
 
@@ -100,12 +101,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 # --- candidates and features ----------------------------------------------------------------
+# No upper bounds on names, domains and tokens: a run is entered at its start only, so long ones take linear time.
 _GENERATORS = (
-    ("email", re.compile(r"(?<![^\s<>\"'(,;])[^\s<>\"'(),;@]{1,64}(?:@| at |\(at\)|\[at\])[^\s<>\"'(),;@]{2,64}")),
+    ("email", re.compile(r"(?<![^\s<>\"'(,;])[^\s<>\"'(),;@]+(?:@| at |\(at\)|\[at\])[^\s<>\"'(),;@]{2,}+")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,4}+(?:\.[0-9]{1,4}+){3}(?![0-9.]*[0-9])")),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[\x20()./-]{0,2}[0-9]){8,14}(?![0-9A-Za-z])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,128}(?![A-Za-z0-9+/_=-])")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+")),
 )
 # Words that announce personal data.
 _WORDS = {
@@ -180,7 +182,11 @@ def _variants(kind: str, span: str, before: str) -> list[tuple[str, str, bool]]:
     bare = re.sub(r"\S+\s*[=:]\s*[\"']?\Z", "", before)
     drawn = [hashlib.shake_128(f"{k}{span}".encode()) for k in range(4)]
     other = [d.hexdigest((len(span) + 1) // 2)[: len(span)] for d in drawn]  # tokens of the same make
-    return [(span, bare, True), *((t, before, True) for t in other), (span[0] * len(span), before, False)]
+    longer = [n for n in LONG if n > len(span)]
+    signs = sorted(set(span))
+    other += ["".join(signs[b % len(signs)] for b in hashlib.shake_128(f"{n}{span}".encode()).digest(n)) for n in longer]
+    broken = [(span[0] * n, before, False) for n in (len(span), *longer)]
+    return [(span, bare, True), *((t, before, True) for t in other), *broken]
 
 
 def _window(text: str, start: int, end: int) -> tuple[str, str]:

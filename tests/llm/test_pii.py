@@ -112,3 +112,21 @@ def test_rare_kind_among_many_other_documents(spark, monkeypatch):
     assert "secret" in model.thresholds and set(model.silent) == set(pii.KINDS) - set(model.thresholds)
     token = "".join(rng.choice(list("0123456789abcdef"), 32))
     assert [(k, base) for k, _, _, base in model.spans(f"Other text, api_token: {token} too.")] == [("secret", False)]
+
+
+def test_long_tokens_and_domains(model):
+    rng = np.random.RandomState(5)
+    for n in (32, 128, 129, 200, 1000, 5000):
+        token = re.sub("([0-9]{6})", r"\1a", "".join(rng.choice(list("0123456789abcdef"), n)))[:n]  # holds no card number
+        text = f"The access token: {token} was sent."
+        assert pii.candidates(text) == [("secret", 18, 18 + n)]
+        assert model.spans(text) == [("secret", 18, 18 + n, False)]
+    local, domain = "n" * 80, "d" * 60 + "." + "e" * 60 + ".org"
+    for sign in ("@", " at ", "(at)", "[at]"):
+        text = f"7 mails to {local}{sign}{domain} went"
+        assert ("email", 11, len(text) - 5) in pii.candidates(text)
+
+
+@pytest.mark.parametrize("text", ["a1" * 300_000, "=" * 300_000 + "1 ", "a[at]" * 60_000 + "1", "x at " * 60_000 + "1", "1[at" * 60_000])
+def test_unbounded_runs_take_linear_time(text):
+    pii.candidates(text)
