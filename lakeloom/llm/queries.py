@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, mixing, neardup, pii, quality, repeats, sharding, urls
+from . import ann, bpe, html, mixing, neardup, pii, quality, queries_more, repeats, sharding, urls
 from .common import rows_of
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -260,4 +260,4 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_pfair_mix": (op8_pfair_mix, OP8_SQL),
     "op9_forced_bpe": (op9_forced_bpe, None),
     "op10_multi_index": (op10_multi_index, None),
-}
+} | queries_more.QUERIES
