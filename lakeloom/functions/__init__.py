@@ -5,7 +5,9 @@ from .columns import (
     calendar_columns,
     cents,
     date_key,
+    exact,
     exact_sum,
+    exact_type,
     hours_in,
     in_hours,
     iso_seconds,
@@ -16,7 +18,6 @@ from .columns import (
     net_cents,
     padded_id,
     plus_seconds,
-    scaled,
     seconds_between,
 )
 
@@ -25,7 +26,9 @@ __all__ = [
     "calendar_columns",
     "cents",
     "date_key",
+    "exact",
     "exact_sum",
+    "exact_type",
     "hours_in",
     "in_hours",
     "iso_seconds",
@@ -36,6 +39,5 @@ __all__ = [
     "net_cents",
     "padded_id",
     "plus_seconds",
-    "scaled",
     "seconds_between",
 ]

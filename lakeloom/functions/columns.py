@@ -6,8 +6,9 @@ import re
 from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 
 def _col(c: str | Column) -> Column:
@@ -16,21 +17,41 @@ def _col(c: str | Column) -> Column:
 
 # --- money -----------------------------------------------------------------------------
 #
-# Amounts are summed as whole numbers of a small unit, a millionth by default, in DECIMAL: exact
-# whatever the order of addition, and only the result is rounded. Prices and shares that are
-# whole cents by definition are handled in cents.
+# Amounts are summed in DECIMAL: exact whatever the order of addition, no row is rounded first, and only
+# the result is. A sum with more digits than the type has is an error, never a cut or a limit value.
+# Prices and shares that are whole cents by definition are handled in cents.
 
-SCALE = 6  # decimals of an amount that count in a sum
+EXACT = "decimal(38,15)"  # what a DOUBLE counts as in a sum: 23 digits before the point, 15 behind
+CENTS_LIMIT = 9 * 10**13  # amounts whose cents a DOUBLE still tells apart
+_INFINITY = float("inf")
+
+
+def _finite(c: Column) -> Column:
+    """Whether a value is a number; NULL for NULL. NaN is above every number."""
+    return F.abs(c.cast("double")) < F.lit(_INFINITY)
 
 
 def cents(c: str | Column) -> Column:
-    """Amount in whole cents."""
-    return F.floor(_col(c) * 100 + 0.5).cast("bigint")
+    """Amount in whole cents. NaN, Infinity and amounts of more than 9e13 are an error."""
+    c = _col(c)
+    whole = F.floor(c * 100 + 0.5).cast("bigint")
+    fits = F.coalesce(F.abs(c) <= F.lit(CENTS_LIMIT), F.lit(True))
+    return F.when(fits, whole).otherwise(F.raise_error(F.concat(F.lit("not an amount in cents: "), c.cast("string"))))
 
 
-def scaled(c: str | Column, scale: int = SCALE) -> Column:
-    """Amount in whole units of ``10 ** -scale``, as a DECIMAL whose sums cannot overflow."""
-    return F.floor(_col(c) * 10**scale + 0.5).cast("decimal(19,0)")
+def exact(c: str | Column, kind: str = EXACT) -> Column:
+    """Amount as DECIMAL. NaN, Infinity and what ``kind`` has no digits for are an error."""
+    c = _col(c)
+    wrong = F.raise_error(F.concat(F.lit("not an amount: "), c.cast("string")))
+    return F.when(F.coalesce(_finite(c), F.lit(True)), c.cast(kind)).otherwise(wrong)
+
+
+def exact_type(df: DataFrame, c: str) -> str:
+    """The DECIMAL that holds sums of a column: its own scale where it has one."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, DecimalType):
+        return f"decimal(38,{kind.scale})"
+    return "decimal(38,0)" if isinstance(kind, IntegralType) else EXACT
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -51,20 +72,29 @@ def amount(n: str | Column, places: int = 2) -> Column:
     return _units(_col(n), 10 ** (2 - places)).cast("double") / float(10**places)
 
 
-def exact_sum(c: str | Column, places: int = 1, scale: int = SCALE) -> Column:
-    """Sum of amounts, rounded once at the end. Rows count with ``scale`` decimals."""
-    total = F.sum(scaled(c, scale)) * F.lit(Decimal(1).scaleb(-scale))
-    return F.round(total, places).cast("double")
+def exact_sum(c: str | Column, places: int = 1, kind: str = EXACT) -> Column:
+    """Sum of amounts, rounded once at the end; NULLs do not count.
+
+    Amounts count with all digits of ``kind`` (see :func:`exact_type` for columns that are DECIMAL
+    already). With NaN among the amounts, or Infinity of both signs, the sum is NaN; with
+    Infinity of one sign it is that. A sum that ``kind`` has no digits for is an error.
+    """
+    c = _col(c)
+    finite = _finite(c)
+    total = F.sum(F.when(finite, c.cast(kind)))
+    return F.coalesce(F.sum(F.when(~finite, c.cast("double"))), F.round(total, places).cast("double"))
 
 
 def mean_half_up(total: str | Column, n: str | Column, places: int = 1, scale: int = 2) -> Column:
     """``total / n`` rounded half up, ``total`` in units of ``10 ** -scale``; NULL where ``n`` is 0.
 
-    In integers, because the rounding of a DOUBLE quotient decides ties by accident.
+    In whole numbers of up to 37 digits, because the rounding of a DOUBLE quotient decides ties by accident.
     """
-    total, n = _col(total), _col(n).cast("bigint")
-    step = 10 ** (scale - places)
-    steps = _div(2 * F.abs(total) + step * n, F.when(n > 0, 2 * step * n)).cast("double")
+    total, n = _col(total).cast("decimal(38,0)"), _col(n).cast("decimal(20,0)")
+    step = F.lit(Decimal(10 ** (scale - places)))
+    up, down = 2 * F.abs(total) + step * n, F.when(n > 0, 2 * step * n)
+    # The remainder taken off first, the quotient is whole and no digit is lost.
+    steps = ((up - up % down) / down).cast("double")
     return F.when(n > 0, F.signum(total).cast("double") * steps / float(10**places))
 
 

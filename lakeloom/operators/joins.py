@@ -25,7 +25,7 @@ from pyspark.sql.types import (
     YearMonthIntervalType,
 )
 
-from ..functions import exact_sum
+from ..functions import exact_sum, exact_type
 
 HOT_SHARE = 0.01  # a key is hot from this share of all rows on
 BROADCAST_BYTES = 10 * 1024 * 1024  # a side up to this size is sent to every executor
@@ -185,13 +185,13 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], how: s
 
 def order_totals(items: DataFrame, key: str, amount_col: str, places: int = 1) -> DataFrame:
     """Line count and summed amount per order; the lines of one order shrink before the shuffle."""
-    total = exact_sum(amount_col, places)
+    total = exact_sum(amount_col, places, exact_type(items, amount_col))
     return items.groupBy(key).agg(F.count(F.lit(1)).alias("item_count"), total.alias("order_net_amount"))
 
 
 def zero_filled_totals(base: DataFrame, items: DataFrame, key: str, amount_col: str, out: str) -> DataFrame:
     """Summed amount per base row, 0 where there are no lines."""
-    totals = items.groupBy(key).agg(exact_sum(amount_col).alias(out))
+    totals = items.groupBy(key).agg(exact_sum(amount_col, kind=exact_type(items, amount_col)).alias(out))
     return base.join(totals, key, "left").fillna({out: 0.0})
 
 

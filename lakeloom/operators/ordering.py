@@ -107,29 +107,75 @@ def write_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return _ranged(df, order)
 
 
-def rolling_count(
-    df: DataFrame, key: str, ts: str, minutes: int, out: str, bucket: str = "hour"
+def keyed_running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], last: Sequence[str] = (), sums: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the same key in the ``minutes`` up to and including each distinct time.
+    """State of each row's key so far, own row included, in the order of the given columns.
 
-    Copies of one (key, time) collapse to a count first. Each hour (or day) of a key is its own
-    window group, with the earlier buckets that reach into it, so a hot key spreads over time.
+    The columns ``last`` become their last non-NULL value, the columns ``sums`` their sum so far. The
+    whole table is put in order by key and order once; a key of any size goes on over several slices, and
+    what it brings from earlier ones is one small row per slice. NULL keys are a key of their own.
     """
-    reach = {"hour": 60, "day": 1440}[bucket]
-    spans = -(-minutes // reach)
-    counts = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(
-        F.count(F.lit(1)).alias("_n")
+    keys, kept = list(keys), df.columns
+    placed = ordered_slices(df, [*keys, *order])
+    so_far = Window.partitionBy("_slice", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns(
+        {c: F.last(c, ignorenulls=True).over(so_far) for c in last} | {c: F.sum(c).over(so_far) for c in sums}
     )
-    own = F.date_trunc(bucket, F.col(ts).cast("timestamp"))
-    ahead = F.explode(F.sequence(F.lit(0), F.lit(spans))).alias("_ahead")
-    rows = counts.select("*", own.alias("_own"), ahead)
-    rows = rows.withColumn("_bucket", F.unix_seconds("_own") + F.col("_ahead") * reach * 60)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    frame = (
-        Window.partitionBy(key, "_bucket").orderBy(micros).rangeBetween(-minutes * 60_000_000, Window.currentRow)
+
+    # Only the last key of a slice goes on, and only into slices that begin with it.
+    ends = placed.groupBy("_slice").agg(F.max("_pos").alias("_pos"))
+    last_keys = placed.select("_slice", "_pos", *keys).join(F.broadcast(ends), ["_slice", "_pos"])  # one row per slice
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    same = F.lit(True)
+    for k, renamed in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(renamed))
+    edge = F.broadcast(last_keys.select(F.col("_slice").alias("_carried_slice"), *[F.col(k).alias(n) for k, n in names.items()]))
+    of_last = placed.join(edge, (F.col("_slice") == F.col("_carried_slice")) & same)
+    states = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(c) for c in last] + [F.sum(c).alias(c) for c in sums]
+    left = of_last.groupBy("_slice", *keys).agg(*states).withColumn("_begins", F.lit(False))
+    begun = placed.filter("_pos = 0").select("_slice", *keys).withColumn("_begins", F.lit(True))
+    earlier = Window.partitionBy(*keys).orderBy("_slice", F.desc("_begins")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        left.unionByName(begun, allowMissingColumns=True)
+        .withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in last} | {c: F.sum(c).over(earlier) for c in sums})
+        .filter("_begins")
+        .select(F.col("_slice").alias("_carried_slice"), *[F.col(k).alias(n) for k, n in names.items()], *[F.col(c).alias(f"_c_{c}") for c in [*last, *sums]])
     )
-    return (
-        rows.withColumn(out, F.sum("_n").over(frame).cast("bigint"))
-        .filter(F.col("_ahead") == 0)
-        .select(key, ts, F.col("_n").alias("rows_at_time"), out)
+    met = local.join(F.broadcast(carried), (F.col("_slice") == F.col("_carried_slice")) & same, "left")  # one row per slice
+    values = {c: F.coalesce(c, f"_c_{c}") for c in last} | {c: F.coalesce(f"_c_{c}", F.lit(0)) + F.col(c) for c in sums}
+    return met.select(*[values.get(c, F.col(c)).alias(c) for c in kept])
+
+
+def rolling_sums(
+    df: DataFrame, keys: Sequence[str], ts: str, span: str, sums: dict[str, Column], closed: str = "right"
+) -> DataFrame:
+    """Per distinct (key, time): each sum over the rows of the key in the ``span`` (an interval) up to that time.
+
+    ``closed`` says whether a row that is exactly ``span`` old still counts (``both``) or not (``right``).
+    Rows of one key and time shrink to one first. Each of these then enters at its time and leaves at
+    time plus span, as two signed rows of one running sum: nothing is copied per bucket, however long the span.
+    Rows with a NULL key or time do not count.
+    """
+    if closed not in ("right", "both"):
+        raise ValueError(f"closed must be right or both, not {closed!r}")
+    keys = list(keys)
+    known = df.dropna(subset=[*keys, ts])
+    at_time = known.groupBy(*keys, F.col(ts).alias("_t")).agg(*[v.alias(f"_{n}") for n, v in sums.items()])
+    values = [f"_{n}" for n in sums]
+    entering = at_time.select(*keys, "_t", F.lit(1).alias("_side"), *values, *[F.col(v).alias(f"_at{v}") for v in values])
+    leaving = at_time.select(
+        *keys, (F.col("_t") + F.expr(f"INTERVAL {span}")).alias("_t"), F.lit(0 if closed == "right" else 2).alias("_side"),
+        *[(-F.col(v)).alias(v) for v in values], *[F.lit(None).cast(at_time.schema[v].dataType).alias(f"_at{v}") for v in values],
+    )
+    running = keyed_running(entering.unionByName(leaving), keys, ["_t", "_side"], sums=values)
+    return running.filter("_side = 1").select(
+        *keys, F.col("_t").alias(ts), *[F.col(f"_at{v}").alias(f"{n}_at_time") for n, v in zip(sums, values)],
+        *[F.col(v).alias(n) for n, v in zip(sums, values)],
     )
+
+
+def rolling_count(df: DataFrame, key: str, ts: str, minutes: int, out: str) -> DataFrame:
+    """Rows of the same key in the ``minutes`` up to and including each distinct time."""
+    found = rolling_sums(df, [key], ts, f"{minutes} minutes", {"n": F.count(F.lit(1))}, closed="both")
+    return found.select(key, ts, F.col("n_at_time").alias("rows_at_time"), F.col("n").cast("bigint").alias(out))

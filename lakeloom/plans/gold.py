@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_columns, date_key, mask_email, mean_half_up, scaled
-from ..functions.columns import SCALE
+from ..functions import calendar_columns, date_key, exact, exact_type, mask_email, mean_half_up
 from ..operators.dedup import latest_attrs
 from ..operators.joins import chain_join, order_totals, star_join
 from ..operators.ordering import dense_key
@@ -188,7 +187,7 @@ def customer_features(
     sets = lines.groupingSets(
         [["customer_id", "order_id"], ["customer_id", "category"]], "customer_id", "order_id", "category"
     ).agg(
-        F.sum(scaled("line_amount")).alias("total"),
+        F.sum(exact("line_amount", exact_type(items, "line_amount"))).alias("total"),
         F.count("_listed").alias("listed"),
         (F.grouping("category") == 1).alias("is_order"),
     )
@@ -199,7 +198,7 @@ def customer_features(
         .groupBy("customer_id")
         .agg(
             F.count_if(order).alias("n_orders"),
-            F.sum(F.when(order, F.col("total") * weight)).alias("weighted"),
+            F.sum(F.when(order, F.col("total").cast("decimal(28,9)") * weight.cast("decimal(10,0)"))).alias("weighted"),
             # As in any average, an order without an amount does not count.
             F.sum(F.when(order & F.col("total").isNotNull(), weight)).alias("weight"),
             F.count_if(~order & F.col("category").isNotNull()).alias("n_categories"),
@@ -210,7 +209,7 @@ def customer_features(
         "customer_id",
         stamp_day.cast("timestamp_ntz").alias("event_timestamp"),
         F.col("n_orders").alias("f_total_orders_90d"),
-        mean_half_up("weighted", "weight", scale=SCALE).alias("f_avg_order_value_90d"),
+        mean_half_up(F.col("weighted") * 10**9, "weight", scale=9).alias("f_avg_order_value_90d"),
         F.col("n_categories").alias("f_distinct_categories_90d"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import threading
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -9,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..sources.writers import write_table
 from .checks import gold_checks
@@ -52,6 +56,67 @@ def run_stages(spark: SparkSession, stages: Sequence[Stage], retries: int = 1) -
     return spark.createDataFrame(records, RUN)
 
 
+def append_records(spark: SparkSession, records: DataFrame, path: str, run_id: str) -> None:
+    """Put the records of one run into the log at ``path``, with their run id and the time of the entry.
+
+    A run that is repeated under its id replaces what it left before; other runs are not touched.
+    """
+    if not run_id or not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"a run id has letters, digits, dots and dashes only, not {run_id!r}")
+    rows = records.drop("run_id").withColumn("recorded_at", F.current_timestamp())
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of the log."""
+    run_id = StructField("run_id", StringType())  # an id of digits stays text
+    schema = StructType([run_id, *spark.createDataFrame([], RUN).schema.fields, StructField("recorded_at", TimestampType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/run_id=*")
+
+
+class StreamRecords(StreamingQueryListener):
+    """Rows taken in and seconds spent per named stream, one record each when the stream ends.
+
+    Register with ``spark.streams.addListener``; the counts come from the micro-batches' own progress.
+    """
+
+    def __init__(self) -> None:
+        self._lock, self._open, self._done = threading.Condition(), {}, {}
+
+    def onQueryStarted(self, event) -> None:
+        with self._lock:
+            self._open[str(event.runId)] = {"name": event.name or str(event.id), "batches": {}, "began": time.monotonic()}
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._lock:
+            entry = self._open.get(str(progress.runId))
+            if entry is not None:
+                entry["batches"][progress.batchId] = progress.numInputRows  # a batch that reports again counts once
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            entry = self._open.pop(str(event.runId), None)
+            if entry is not None:
+                message = event.exception.splitlines()[0][:500] if event.exception else None
+                self._done[entry["name"]] = (
+                    entry["name"], "failed" if message else "success", len(entry["batches"]),
+                    time.monotonic() - entry["began"], sum(entry["batches"].values()), message,
+                )
+                self._lock.notify_all()
+
+    def records(self, spark: SparkSession, names: Sequence[str], wait: float = 60.0) -> DataFrame:
+        """Records of ended streams by name; ``attempts`` is the number of micro-batches. Waits for their last events."""
+        with self._lock:
+            if not self._lock.wait_for(lambda: all(n in self._done for n in names), timeout=wait):
+                raise TimeoutError(f"no end seen of {', '.join(n for n in names if n not in self._done)}")
+            rows = [(i, *self._done[n]) for i, n in enumerate(names)]
+        return spark.createDataFrame(rows, RUN)
+
+
 def lineage(spark: SparkSession, stages: Sequence[Stage]) -> DataFrame:
     """Edges from each table a stage reads to each it writes."""
     edges = [(r, w, s.name) for s in stages for r in s.reads for w in s.writes]

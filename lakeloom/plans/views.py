@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.asof import point_in_time_join
+from ..operators.asof import Timeline, merge_as_of, point_in_time_join
 from ..operators.dedup import latest_per_key
 
 
@@ -57,6 +57,21 @@ def historical_features(labels: DataFrame, df: DataFrame, view: FeatureView, lab
     )
 
 
+def unified_features(labels: DataFrame, tables: Sequence[tuple[FeatureView, DataFrame]], label_time: str) -> DataFrame:
+    """Label rows with the features of several views, each as of the label time and within its time to live.
+
+    The views must have the same keys. ``<view>_time`` tells when a view's features were taken; a view
+    without a valid row gives NULLs. All views are merged in one pass (see :func:`merge_as_of`).
+    """
+    keys = {view.keys for view, _ in tables}
+    if len(keys) != 1:
+        raise ValueError("views of one table must have the same keys")
+    timelines = [
+        Timeline(view.select(df), view.time, view.created, view.ttl, list(view.fields), f"{view.name}_time") for view, df in tables
+    ]
+    return merge_as_of(labels, timelines, list(keys.pop()), label_time)
+
+
 def materialize(df: DataFrame, view: FeatureView, start: str, end: str) -> DataFrame:
     """Newest row per entity with event time in ``[start, end]``."""
     kind = df.schema[view.time].dataType

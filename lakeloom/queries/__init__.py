@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cleaning, coverage, features, history, modelling, quality, serving, streams
+from . import cleaning, coverage, features, history, learning, modelling, quality, serving, signals, streams
 from .sql import with_ctes
 
-FAMILIES = (serving, modelling, cleaning, features, quality, history, streams, coverage)
+FAMILIES = (serving, modelling, cleaning, features, quality, history, streams, coverage, signals, learning)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

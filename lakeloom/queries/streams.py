@@ -13,14 +13,16 @@ from ..operators.dedup import latest_per_key
 from ..session import scratch
 from ..sources.messages import decode_json
 from ..sources.writers import write_ndjson
+from ..streaming.bursts import burst_windows
 from ..streaming.ingest import append_to_table, file_lines, ingest_events
-from ..streaming.stateful import dedup_stream, epoch_writer, interval_join, tumbling, upsert_stream
+from ..streaming.stateful import dedup_stream, epoch_writer, interval_join, tumbling, unmatched_stream, upsert_stream
 from . import raw
 from .cleaning import CLOCKS, EVENT_SCHEMA
 
 LATENESS = "2 hours"  # above the longest delay in the events, so no window loses a row
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # the one that keeps custom state
 BATCHES = 4  # files of a stream, one per micro-batch, so that state and watermark carry over
 
 
@@ -115,6 +117,51 @@ def stream_interval_join(spark, d):
     return _plain_times(spark.read.parquet(out), "order_timestamp", "payment_timestamp")
 
 
+FAR = "2100-01-01 00:00:00"  # a last row at this time lets the watermark pass all others
+
+
+def _in_parts(spark, df, key, order, name):
+    """Stream of ``df`` in time order, one file per micro-batch, and at the end a row of the key -1 that only moves
+    the watermark on. (A NULL key would be filtered out below the watermark.)"""
+    path = scratch(spark, name)
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    span = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    number = F.floor((at - (span.lo or 0)) / (((span.hi or 0) - (span.lo or 0)) / BATCHES + 1))
+    far = spark.range(1).select(*[F.lit({order: FAR, key: -1}.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema])
+    for part in [*(df.filter(number == n) for n in range(BATCHES)), far]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def stream_bursts(spark, d):
+    """Views, carts and purchases per customer in 30-minute windows, with the baseline of the two hours before."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    events = raw.raw_events(spark, d).select("customer_id", "event_timestamp", "event_type")
+    kind = F.col("event_type")
+    counts = {"views": kind == "app_view", "carts": kind == "add_to_cart", "purchases": kind == "mobile_order_placed"}
+    stream = _in_parts(spark, events, "customer_id", "event_timestamp", "burst-events")
+    found = burst_windows(stream, ["customer_id"], "event_timestamp", counts, factor=2.0, least=2, lateness=LATENESS)
+    out = scratch(spark, "bursts")
+    append_to_table(found, out, scratch(spark, "bursts-state")).awaitTermination()
+    rows = spark.read.parquet(out).filter("customer_id >= 0")
+    ratio = F.try_divide(F.col("purchases").cast("double"), F.col("carts"))
+    return _plain_times(rows.withColumn("purchases_per_cart", ratio), "window_start")
+
+
+def stream_unpaid_orders(spark, d):
+    """Orders without a successful payment in the five minutes after them."""
+    orders = raw.raw_orders(spark, d).select("order_id", "order_timestamp", "status")
+    paid = raw.raw_payments(spark, d).filter("payment_status = 'success'").select("order_id", "payment_timestamp")
+    left = _in_parts(spark, orders, "order_id", "order_timestamp", "unpaid-orders")
+    right = _in_parts(spark, paid, "order_id", "payment_timestamp", "unpaid-payments")
+    found = unmatched_stream(
+        left, right, ["order_id"], "order_timestamp", "payment_timestamp", "0 seconds", "5 minutes", "1 day", bucket=600
+    )
+    out = scratch(spark, "unpaid")
+    append_to_table(found, out, scratch(spark, "unpaid-state")).awaitTermination()
+    return _plain_times(spark.read.parquet(out).filter("order_id >= 0"), "order_timestamp")
+
+
 _SECONDS = """
     (SELECT * REPLACE (date_trunc('second', event_timestamp) AS event_timestamp,
                        date_trunc('second', created_ts) AS created_ts) FROM {table})"""
@@ -139,6 +186,26 @@ QUERIES = {
               FROM raw_events, range(2) AS t(k) WHERE customer_id IS NOT NULL)
         GROUP BY w, customer_id""",
     ),
+    "stream_bursts": (
+        stream_bursts,
+        """
+        WITH w AS (
+            SELECT customer_id, time_bucket(INTERVAL 30 MINUTE, event_timestamp) AS window_start,
+                   count(*) FILTER (WHERE event_type = 'app_view') AS views, count(*) FILTER (WHERE event_type = 'add_to_cart') AS carts,
+                   count(*) FILTER (WHERE event_type = 'mobile_order_placed') AS purchases
+            FROM raw_events WHERE customer_id IS NOT NULL GROUP BY ALL)
+        SELECT * EXCLUDE (before), before / 4.0 AS baseline, views >= 2 AND views * 4 >= 2 * before AS burst,
+               CASE WHEN carts > 0 THEN purchases / carts::DOUBLE END AS purchases_per_cart
+        FROM (SELECT *, coalesce(sum(views) OVER (PARTITION BY customer_id ORDER BY window_start
+                  RANGE BETWEEN INTERVAL 120 MINUTE PRECEDING AND INTERVAL 30 MINUTE PRECEDING), 0)::DOUBLE AS before FROM w)""",
+    ),
+    "stream_unpaid_orders": (
+        stream_unpaid_orders,
+        """
+        SELECT order_id, order_timestamp, status FROM raw_orders o
+        WHERE NOT EXISTS (SELECT 1 FROM raw_payments p WHERE p.order_id = o.order_id AND payment_status = 'success'
+            AND payment_timestamp BETWEEN order_timestamp AND order_timestamp + INTERVAL 5 MINUTE)""",
+    ),
     "stream_quarantine": (
         stream_quarantine,
         """

@@ -55,16 +55,18 @@ def decode_events(lines: DataFrame, schema: StructType, ts: str, lateness: str =
     return with_ingest_time(with_watermark(good, ts, lateness)), with_ingest_time(bad)
 
 
-def append_to_table(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def append_to_table(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None
+) -> StreamingQuery:
     """Start an append to Parquet, exactly once per checkpoint.
 
     ``every`` is the trigger interval of a long-running job (``10 seconds``). Without it the job
     takes what is there and ends. Same checkpoint: resume; new checkpoint and new path: restart
-    from the earliest message.
+    from the earliest message. ``name`` is what listeners see.
     """
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(path)
+    return (writer.queryName(name) if name else writer).start(path)
 
 
 def ingest_events(

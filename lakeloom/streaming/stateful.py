@@ -62,17 +62,51 @@ def interval_join(
     if not bucket:
         return a.join(r, cond, how).drop(*names.values())
     if how != "inner":
-        raise ValueError("time buckets are for inner joins")
+        raise ValueError("time buckets are for inner joins; unmatched_stream has the rows without partner")
 
-    def slot(when: Column) -> Column:
-        return F.floor(F.unix_seconds(when) / F.lit(bucket))
-
-    lo, hi = (slot(F.col(left_ts) + F.expr(f"INTERVAL {x}")) for x in (low, high))
+    lo, hi = (_slot(F.col(left_ts) + F.expr(f"INTERVAL {x}"), bucket) for x in (low, high))
     a = a.withColumn("_slot", F.explode(F.sequence(lo, hi)))
-    r = r.withColumn("_r_slot", slot(F.col(right_ts)))
+    r = r.withColumn("_r_slot", _slot(F.col(right_ts), bucket))
     return a.join(r, cond & (F.col("_slot") == F.col("_r_slot")), how).drop(*names.values(), "_slot", "_r_slot")
 
 
+def unmatched_stream(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    low: str,
+    high: str,
+    lateness: str = "5 minutes",
+    bucket: int = 600,
+) -> DataFrame:
+    """Rows of ``left`` without a partner at ``left_ts + low`` to ``left_ts + high``, each once.
+
+    Both sides are joined by key and time bucket, so a key with very many rows spreads over time. A left
+    row is in every bucket that its interval touches and may miss in one and match in another; so the outer
+    join's rows are folded to one match flag per left row, which is emitted when the watermark is past the
+    row's time. Left rows that are exact copies of each other come out as one.
+    """
+    names = {c: f"_r_{c}" for c in on}
+    cols = left.columns
+    a = with_watermark(left, left_ts, lateness)
+    r = with_watermark(right.select(*on, right_ts), right_ts, lateness)
+    r = r.select(*[F.col(c).alias(n) for c, n in names.items()], F.col(right_ts).alias("_r_ts"), _slot(F.col(right_ts), bucket).alias("_r_slot"))
+    lo, hi = (F.col(left_ts) + F.expr(f"INTERVAL {x}") for x in (low, high))
+    a = a.withColumn("_slot", F.explode(F.sequence(_slot(lo, bucket), _slot(hi, bucket))))
+    cond = F.col("_r_ts").between(lo, hi) & (F.col("_slot") == F.col("_r_slot"))
+    for c, n in names.items():
+        cond = cond & (F.col(c) == F.col(n))
+    met = a.join(r, cond, "left_outer").select(*cols, F.col("_r_ts").isNotNull().cast("int").alias("_met"))
+    folded = met.groupBy(*cols).agg(F.max("_met").alias("_met"))
+    return folded.filter("_met = 0").select(*cols)
+
+
+def _slot(when: Column, bucket: int) -> Column:
+    return F.floor(F.unix_seconds(when) / F.lit(bucket))
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = "5 minutes") -> DataFrame:
     """First arrival per key; a key is remembered for ``lateness`` of event time."""
     return with_watermark(df, ts, lateness).dropDuplicatesWithinWatermark(list(keys))

@@ -39,8 +39,7 @@ def test_copies_of_a_label_stay(spark):
     assert got.count() == 5
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day"])
-def test_against_brute_force_with_a_hot_entity(spark, bucket):
+def test_against_brute_force_with_a_hot_entity(spark):
     feats, labels = [], []
     for i in range(600):
         c = "hot" if i % 3 == 0 else f"c{i % 11}"
@@ -48,7 +47,7 @@ def test_against_brute_force_with_a_hot_entity(spark, bucket):
         feats.append((c, at, at + dt.timedelta(seconds=i % 5), i))
         labels.append((c, T0 + dt.timedelta(seconds=(i * 104_729) % 600_000)))
     ttl = dt.timedelta(days=1)
-    got = {(r.c, r.label_time): r.f for r in join(spark, labels, feats, ttl="1 day", how="left", bucket=bucket).collect()}
+    got = {(r.c, r.label_time): r.f for r in join(spark, labels, feats, ttl="1 day", how="left").collect()}
     for c, at in labels:
         known = [(t, made, f) for k, t, made, f in feats if k == c and t <= at]
         want = max(known) if known else None
