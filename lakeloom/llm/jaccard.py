@@ -41,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import small_ones, spread_join
-from ..operators.ordering import dense_key
+from ..operators.joins import spread_join
 from ..session import shared_dir
 from ..sources.writers import staged
 from .components import components
-from .neardup import _mixed, shingle_hashes, words
+from .nodes import Nodes, text_hash
+from .shingles import _mixed, shingle_hashes, words
 from .verify import confirmed, slices
 
 WORDS = 4
@@ -54,7 +54,6 @@ SIMILARITY = Fraction(17, 20)
 SLACK = Fraction(6, 5)  # credits of a band per credit that the pigeonhole principle needs
 DELETED = 32  # one of so many credits comes from a one-deletion neighbourhood
 BLOCK = 512  # sets of a bucket side by side
-ID_BYTES = 10 << 20  # ids up to this size are sent to every executor
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -292,40 +291,16 @@ def similar_documents(
 ) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``."""
     shared_dir(docs.sparkSession)
-    named = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    named = docs.select(F.col(id_col).cast("bigint").alias("id"), text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
     signed = staged(named.mapInArrow(_classes(size), "id bigint, th bigint, class binary, n bigint"), "classes")
-    members = signed.filter("id IS NOT NULL AND n > 0").select("id", "th", "class").distinct()
-    lowest = members.groupBy("class").agg(F.min("id").alias("id"))
-    firsts = members.join(lowest, ["class", "id"]).groupBy("class", "id").agg(F.min("th").alias("th"))
-    # A set's node is its smallest id; further sets of one id get numbers above all ids.
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("th", "class"))
-    ranked = firsts.withColumn("rank", rank)
-    further = ranked.filter("rank > 1").select("id", "th", "class").checkpoint()
-    if further.isEmpty():
-        nodes = firsts.select("class", "id", "th", F.col("id").alias("node"))
-        further = None
-    else:
-        above = members.agg(F.max("id") + 1).scalar()
-        further = dense_key(further, ["id", "th", "class"], "node", above).checkpoint()
-        nodes = ranked.filter("rank = 1").select("class", "id", "th", F.col("id").alias("node")).unionByName(further.select("class", "id", "th", "node"))
-    nodes = staged(nodes, "sets")
-
-    # Rows to leave out (copies) or to renumber; what is left is its own node.
-    changed = members.join(nodes.select("id", "th", "node"), ["id", "th"], "left").filter("node IS NULL OR node <> id")
-    changed = changed.select("id", "th", F.coalesce("node", "id").alias("node"), F.col("node").isNull().alias("copy")).checkpoint()
-    numbered = spread_join(named.filter("id IS NOT NULL"), changed, ["id", "th"])
-    numbered = numbered.filter("copy IS NULL OR NOT copy").select(F.coalesce("node", "id").alias("node"), "text")
-
-    def texts(ids: DataFrame) -> DataFrame:
-        (small,) = small_ones([ids], ID_BYTES)
-        return numbered.join(F.broadcast(ids) if small else ids, "node", "left_semi").dropDuplicates(["node"])
+    nodes = Nodes.of(named, signed.filter("id IS NOT NULL AND n > 0"))
 
     def check(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
-        return confirmed(pairs, texts(wanted), size, similarity)
+        return confirmed(pairs, nodes.texts(wanted), size, similarity)
 
-    sizes = nodes.join(signed.select("class", "n").distinct(), "class").select("node", "n")
-    found = searched(numbered.mapInArrow(_index(size, similarity), "key bigint, node bigint, info bigint"))
+    sizes = nodes.sets.join(signed.select("class", "n").distinct(), "class").select("node", "n")
+    found = searched(nodes.rows().mapInArrow(_index(size, similarity), "key bigint, node bigint, info bigint"))
     found = staged(found, "shared-segments")
     p, q = similarity.numerator, similarity.denominator
     first = found.filter("chosen AND node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -333,20 +308,12 @@ def similar_documents(
     first = first.filter(F.least("n", "m") * q >= F.greatest("n", "m") * p).select("a", "b").checkpoint()
     labels = components(check(first)).checkpoint()
     met = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _rest(found, labels, texts, size, similarity).join(met, ["a", "b"], "left_anti").checkpoint()
+    more = _rest(found, labels, nodes.texts, size, similarity).join(met, ["a", "b"], "left_anti").checkpoint()
     if not more.isEmpty():
         known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
         labels = components(known.unionByName(check(more))).checkpoint()
 
-    placed = nodes.join(labels, "node", "left").select("class", "node", F.coalesce("root", "node").alias("root"))
-    if further is None:
-        reached = placed.select("class", F.col("root").alias("component"))
-    else:
-        # A component may reach a smaller id through a further set of that id.
-        through = further.join(labels, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("id").alias("least"))
-        last = members.agg(F.max("id")).scalar()
-        own = F.when(F.col("root") <= last, F.col("root"))
-        reached = spread_join(placed, through, ["root"]).select("class", F.least(own, "least").alias("component"))
+    reached = nodes.components(labels).select("class", "component")
     judged = spread_join(signed.select("id", "class", "n"), reached, ["class"])
-    reach = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")))
+    reach = F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("id"))
     return judged.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), reach.alias("component_id"))

@@ -17,85 +17,39 @@ the estimate rejects it about as rarely.
 Cases: a document without words has no shingles and stays alone; one with fewer words than a
 shingle has its whole sequence as the one shingle. Rows with a NULL id take no part: their root is
 NULL and they are kept. Rows that repeat an id and a text give the same row again; rows that share
-an id but not the text are judged by their own text. An empty table gives no rows.
+an id but not the text are linked each by its own text and get the smallest id that they reach. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import small_ones
+from ..operators.joins import spread_join
 from ..session import shared_dir
 from ..sources.writers import staged
+from .common import unused
 from .components import components
+from .nodes import Nodes, text_hash
+from .shingles import _RNG, _STEP, WORDS, _mixed, shingle_hashes, words
+from .verify import confirmed, slices
 
-WORDS = 5  # in a shingle
 SIMILARITY = Fraction(3, 4)
 BANDS, ROWS, BITS = 32, 4, 2
 PERMUTATIONS = BANDS * ROWS
 MARGIN = 0.22  # nearly five standard errors of the estimate at the threshold
 BLOCK = 512  # members of a bucket side by side in one block
-ID_BYTES = 10 << 20  # ids of candidates up to this size are sent to every executor
+Texts = Callable[[DataFrame], DataFrame]  # texts of the given nodes
 
-_RNG = np.random.RandomState(20240229)
-_BYTE = _RNG.randint(0, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _RNG.randint(0, 2**63, PERMUTATIONS).astype(np.uint64)[:, None]
 _ODD = (_RNG.randint(0, 2**63, PERMUTATIONS).astype(np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
-_STEP = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values so that close ones become unrelated."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for k, base in enumerate((_STEP, pow(_STEP, -1, 1 << 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
-    return _powers[0], _powers[1]
-
-
-def words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z in lower case."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-def shingle_hashes(tokens: list[bytes], size: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of ``tokens``."""
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-    data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-    up, down = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    word = _mixed((sums[ends] - sums[starts]) * down[starts] + lengths.astype(np.uint64))
-    count = max(1, len(tokens) - size + 1)
-    h = np.full(count, min(len(tokens), size), dtype=np.uint64)
-    for k in range(min(size, len(tokens))):
-        h = _mixed(h * np.uint64(_STEP) + word[k : k + count])
-    return np.unique(h)
-
-
 def minima(hashes: np.ndarray) -> np.ndarray:
     """The smallest value of the set under each permutation."""
     low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -124,29 +78,29 @@ _LOWEST = sum(1 << (BITS * i) for i in range(64 // BITS))  # the lowest bit of e
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        classes, sizes, bands, signs = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            tokens = words(text)
-            hashes = shingle_hashes(tokens)
-            classes.append(hashlib.blake2b(b" ".join(tokens), digest_size=16).digest())
-            sizes.append(len(hashes))
-            low = minima(hashes)
-            bands.append(band_keys(low) if len(hashes) else None)
-            signs.append(packed(low))
-        table = np.array(signs, dtype=np.int64).reshape(len(signs), len(SIGNATURE))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            + [pa.array(table[:, i]) for i in range(len(SIGNATURE))],
-            ["id", "class", "n", "bands", *SIGNATURE],
-        )
-
-
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``class``, number of shingles ``n``, ``bands`` and packed signature of every row."""
-    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    schema = "id bigint, class binary, n bigint, bands array<bigint>, " + ", ".join(f"{s} bigint" for s in SIGNATURE)
-    return source.mapInArrow(_signatures, schema)
+    for whole in batches:
+        for batch in slices(whole, 2):
+            classes, sizes, bands, signs = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                tokens = words(text)
+                hashes = shingle_hashes(tokens)
+                classes.append(hashlib.blake2b(b" ".join(tokens), digest_size=16).digest())
+                sizes.append(len(hashes))
+                low = minima(hashes)
+                bands.append(band_keys(low) if len(hashes) else None)
+                signs.append(packed(low))
+            table = np.array(signs, dtype=np.int64).reshape(len(signs), len(SIGNATURE))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+                + [pa.array(table[:, i]) for i in range(len(SIGNATURE))],
+                ["id", "th", "class", "n", "bands", *SIGNATURE],
+            )
+
+
+def signatures(named: DataFrame) -> DataFrame:
+    """``id``, ``th``, ``class``, number of shingles ``n``, ``bands`` and packed signature of every row of ``named (id, th, text)``."""
+    schema = "id bigint, th bigint, class binary, n bigint, bands array<bigint>, " + ", ".join(f"{s} bigint" for s in SIGNATURE)
+    return named.select("id", "th", "text").mapInArrow(_signatures, schema)
 
 
 def estimated(left: str, right: str) -> Column:
@@ -179,37 +133,8 @@ def promising(pairs: DataFrame, signs: DataFrame, similarity: Fraction) -> DataF
     ).select("a", "b")
 
 
-def _texts(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id`` and ``text`` of the documents in ``ids (id)``; the ids are broadcast where they are measured to be small."""
-    (small,) = small_ones([ids], ID_BYTES)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids) if small else ids, "id", "left_semi").dropDuplicates(["id"])
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity. Only texts of candidates are moved."""
-    p, q = similarity.numerator, similarity.denominator
-    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, id_col, text_col)
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
-        for batch in batches:
-            same = []
-            for a, left, right in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if a not in kept:  # pairs come sorted by a: one set at a time
-                    kept = {a: shingle_hashes(words(left))}
-                x, y = kept[a], shingle_hashes(words(right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                same.append(q * both >= p * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(same, pa.bool_()))
-
-    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-    both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
-
-
-def supported(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction) -> DataFrame:
-    """``rep`` of those of ``ids (id)`` that can be similar to another one at all.
+def supported(ids: DataFrame, texts: Texts, similarity: Fraction) -> DataFrame:
+    """``rep`` of those of ``ids (node)`` that can be similar to another one at all.
 
     A shared shingle is in two sets. So a document is out if too few of its shingles are in
     another set of the table. Counted exactly, with one row per shingle, combined before the shuffle.
@@ -218,16 +143,17 @@ def supported(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, simil
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = shingle_hashes(words(text)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), id_)), pa.array(np.full(len(h), len(h)))], ["h", "id", "n"])
+            for part in slices(batch, 1):
+                for id_, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    h = shingle_hashes(words(text)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), id_)), pa.array(np.full(len(h), len(h)))], ["h", "id", "n"])
 
-    each = _texts(ids, docs, id_col, text_col).select("id", "text").mapInArrow(sets, "h bigint, id bigint, n bigint")
+    each = texts(ids).select("node", "text").mapInArrow(sets, "h bigint, id bigint, n bigint")
     # A shingle of one set only has that set's id and size as its minima.
-    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"), F.min("n").alias("n"))
-    alone = held.filter("sets = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"), F.min("n").alias("n"))
+    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("node"), F.min("n").alias("n"))
+    alone = held.filter("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"), F.min("n").alias("n"))
     out = alone.filter((F.col("n") - F.col("alone")) * q < F.col("n") * p)
-    return ids.join(out, "id", "left_anti").select(F.col("id").alias("rep"))
+    return ids.join(out, "node", "left_anti").select(F.col("node").alias("rep"))
 
 
 def _open(placed: DataFrame) -> DataFrame:
@@ -236,9 +162,7 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.join(keys, "key")
 
 
-def _rest(
-    buckets: DataFrame, labels: DataFrame, signs: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: Fraction
-) -> DataFrame:
+def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts, similarity: Fraction) -> DataFrame:
     """Promising pairs in buckets that hold members of several components, apart from pairs with
     the smallest member, which have been looked at.
 
@@ -248,7 +172,7 @@ def _rest(
     """
     placed = buckets.filter("rep <> leader").join(labels, F.col("rep") == F.col("node"), "left")
     placed = _open(placed.select("key", "rep", F.coalesce("root", "rep").alias("root"))).checkpoint()
-    able = supported(placed.select(F.col("rep").alias("id")).distinct().checkpoint(), docs, id_col, text_col, similarity)
+    able = supported(placed.select(F.col("rep").alias("node")).distinct().checkpoint(), texts, similarity)
     placed = _open(placed.join(able, "rep", "left_semi"))
     step = float(np.log(1 / float(similarity))) + 1e-9
     members = (
@@ -302,41 +226,72 @@ def _rest(
     return blocks.groupBy(*group).applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY
-) -> DataFrame:
-    """``id_col``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``."""
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
+    """``id``, ``th`` (:func:`nodes.text_hash`), ``n``, ``component`` and ``chosen`` for every row of ``docs``.
+
+    ``chosen`` are the rows with the id and text that stand for their component: the smallest id's first text
+    in it. Rows with a NULL id or an empty set are always chosen.
+    """
     shared_dir(docs.sparkSession)
-    signed = staged(signatures(docs, id_col, text_col), "signatures")
+    named = docs.select(F.col(id_col).cast("bigint").alias("id"), text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
+    signed = staged(signatures(named), "signatures")
     known = signed.filter("id IS NOT NULL AND n > 0")
-    classes = known.groupBy("class").agg(F.min("id").alias("rep"))
-    members = known.select("id", "class").join(classes, "class")
-    firsts = members.filter("id = rep").select("id", "class").distinct()
-    reps = known.join(firsts, ["id", "class"], "left_semi").dropDuplicates(["id", "class"])
-    # An id with several texts stands for the first of its classes among the links.
-    signs = reps.select(F.col("id").alias("rep"), "n", *SIGNATURE, "bands").dropDuplicates(["rep"])
+    nodes = Nodes.of(named, known)
+    keys = nodes.sets.select("id", "th", F.col("node").alias("rep"))
+    signs = known.drop("class").join(keys, ["id", "th"]).select("rep", "n", *SIGNATURE, "bands").dropDuplicates(["rep"])
     signs = staged(signs, "representatives")
 
+    def check(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
+        return confirmed(pairs, nodes.texts(wanted), WORDS, similarity)
+
     banded = signs.select("rep", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
     shared = shared.filter("leader < last").select("key", "leader")
     buckets = banded.join(shared, "key").checkpoint()
     first = buckets.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = confirmed(promising(first, signs, similarity).checkpoint(), docs, id_col, text_col, similarity).checkpoint()
+    links = check(promising(first, signs, similarity).checkpoint()).checkpoint()
     labels = components(links).checkpoint()
-    more = _rest(buckets, labels, signs, docs, id_col, text_col, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
+    more = _rest(buckets, labels, signs, nodes.texts, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
     if not more.isEmpty():
         # The components found so far stand for their links.
-        known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        labels = components(known.unionByName(confirmed(more, docs, id_col, text_col, similarity)))
-    roots = members.distinct().join(labels, F.col("rep") == F.col("node"), "left").select(
-        "id", "class", F.coalesce("root", "rep").alias("root")
+        linked = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        labels = components(linked.unionByName(check(more))).checkpoint()
+    placed = nodes.components(labels).withColumnsRenamed({"id": "_id", "th": "_th"})
+    # Of a component's sets, the one with its smallest id stands for it: its own root, or a further set of a smaller id.
+    stands = placed.filter(F.col("_id") == F.col("component")).groupBy("root").agg(F.min("node").alias("stands"))
+    placed = spread_join(placed, stands, ["root"]).select("class", "_id", "_th", "component", (F.col("node") == F.col("stands")).alias("first"))
+    found = spread_join(signed.select("id", "th", "class", "n"), placed, ["class"])
+    member = F.col("id").isNotNull() & (F.col("n") > 0)
+    mine = F.col("first") & (F.col("id") == F.col("_id")) & (F.col("th") == F.col("_th"))
+    return found.select(
+        "id", "th", "n", F.when(member, F.col("component")).otherwise(F.col("id")).alias("component"),
+        F.when(member, mine).otherwise(True).alias("chosen"),
     )
-    judged = signed.select("id", "class", "n").join(roots, ["id", "class"], "left")
-    root = F.coalesce("root", "id")
-    return judged.select(
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY
+) -> DataFrame:
+    """``id_col``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``."""
+    return judged(docs, id_col, text_col, similarity).select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        root.alias("component_id"),
-        F.coalesce(F.col("id") == root, F.lit(True)).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stand for their component, each id and text once.
+
+    Rows with a NULL id all stay. Of rows that repeat an id and a text the one stays whose other columns come first.
+    """
+    mark, place = unused(docs, "_text_hash"), unused(docs, "_place")
+    chosen = judged(docs, id_col, text_col, similarity).filter("chosen AND id IS NOT NULL")
+    chosen = chosen.select(F.col("id").alias(id_col), F.col("th").alias(mark)).distinct()
+    marked = docs.filter(F.col(id_col).isNotNull()).withColumn(mark, text_hash(text_col))
+    rest = [c for c, kind in docs.dtypes if c not in (id_col, text_col) and not kind.startswith("map")] or [id_col]
+    first = Window.partitionBy(id_col, mark).orderBy(*rest)
+    kept = marked.join(chosen, [id_col, mark], "left_semi").withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -43,7 +43,7 @@ from ..operators.joins import small_ones
 from ..operators.ordering import dense_key
 from ..session import shared_dir
 from ..sources.writers import staged
-from .neardup import _BYTE, _mixed, _power_tables
+from .shingles import _BYTE, _mixed, _power_tables
 
 LENGTH = 100  # bytes of a repeat
 GRAM = 24  # bytes of the grams that name a window

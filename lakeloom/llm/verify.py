@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import hot_keys, spread_join
-from .neardup import shingle_hashes, words
+from .shingles import shingle_hashes, words
 
 BLOCK = 256  # partners of one document that are looked at together
 SLICE_BYTES = 1 << 20  # text turned into Python objects at a time
