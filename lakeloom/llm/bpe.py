@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 VOCABULARY_LIMIT = 64 << 20  # bytes of vocabulary that go along with each task
 REMEMBERED = 150_000  # fragments whose ids a worker keeps
 PORTION = 500_000  # bytes or ids that are looked at a time
@@ -194,6 +196,27 @@ def encode(df: DataFrame, text_col: str, vocabulary: str, out: str = "ids") -> D
     return df.withColumn(out, udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 
+def round_trip(df: DataFrame, text_col: str, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Add ``ids``, the token ids of each text, and ``decoded``, the text of these ids.
+
+    Both in one pass, so the ids do not travel to another worker and back to be decoded.
+    """
+    shared = _vocabulary(df.sparkSession, vocabulary)
+    both = unused(df, "_coded")
+
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        to_ids, to_text = codec(shared.value), decoder(shared.value)
+        for texts in batches:
+            for some in _portions(texts):
+                lists = _lists(to_ids.encode(some.to_pylist()))
+                yield pa.StructArray.from_arrays([lists, pa.array(to_text.decode(lists), pa.string())], ["ids", "decoded"])
+
+    udf = F.arrow_udf(coded, "struct<ids:array<int>,decoded:string>")
+    found = df.withColumn(both, udf(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = [F.col(c) for c in df.columns if c not in (ids, decoded)]
+    return found.select(*kept, F.col(f"{both}.ids").alias(ids), F.col(f"{both}.decoded").alias(decoded))
+
+
 def _portions(values: pa.Array) -> Iterator[pa.Array]:
     """Slices with about ``PORTION`` characters or ids each, so that little is held at a time."""
     sizes = pc.binary_length(values) if pa.types.is_string(values.type) or pa.types.is_large_string(values.type) else values.value_lengths()

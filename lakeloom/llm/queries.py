@@ -233,8 +233,7 @@ JOIN schedule c ON c.source IS NOT DISTINCT FROM p.source AND c.turn = (n // {mi
 
 def op9_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, "text", vocabulary()), "ids", vocabulary())
-    return coded.select(
+    return bpe.round_trip(docs, "text", vocabulary()).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
