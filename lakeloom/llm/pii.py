@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import logging
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -88,7 +89,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("email", *s) for s in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in m.group().split("."))):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() <= 37 and 14 <= len(d := _only_digits(m.group())) <= 19 and luhn(d):
@@ -100,6 +101,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+#: How an address separates its two parts; fixed forms.
+AT = ("@", " at ", "(at)", "[at]")
+
 # --- candidates and features ----------------------------------------------------------------
 # No upper bounds on names, domains and tokens: a run is entered at its start only, so long ones take linear time.
 _GENERATORS = (
@@ -122,10 +126,11 @@ FEATURES = 24
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """Overlapping spans that may be personal."""
-    if "@" not in text and not _DIGIT.search(text):
-        return []
-    return [(kind, *m.span()) for kind, pattern in _GENERATORS for m in pattern.finditer(text)]
+    """Overlapping spans that may be personal. A generator is left out only where the text lacks what it must find."""
+    digit, at = bool(_DIGIT.search(text)), any(sign in text for sign in AT)
+    return [
+        (kind, *m.span()) for kind, pattern in _GENERATORS if (at if kind == "email" else digit) for m in pattern.finditer(text)
+    ]
 
 
 def features(kind: str, span: str, before: str, after: str) -> list[float]:
@@ -173,7 +178,7 @@ def _variants(kind: str, span: str, before: str) -> list[tuple[str, str, bool]]:
         return [(f"{local} at {domain}", before, True), (f"{local}@{domain.replace('.', '')}", before, False)]
     if kind == "ip":
         head, _, last = span.rpartition(".")
-        return [(f"{head}.{int(last) + 256}", before, False), (head, before, False)]
+        return [(f"{head}.{int(last.lstrip('0') or 0) + 256}", before, False), (head, before, False)]
     if kind == "card":
         return [(turned, before, False)]
     if kind == "phone":
@@ -196,15 +201,46 @@ def _window(text: str, start: int, end: int) -> tuple[str, str]:
 def labelled(text: str) -> list[tuple[str, int, int, bool]]:
     """Candidates of a text and whether they are positive, without parts of other base spans."""
     base = set(base_spans(text))
+    # In order of their starts, the two furthest ends so far: a candidate lies in a span, or in two, if these reach its end.
+    around = sorted((s, e) for k, s, e in base if k != "card")
+    starts, furthest, second = [s for s, _ in around], [-1], [-1]
+    for _, e in around:
+        furthest.append(max(furthest[-1], e))
+        second.append(max(second[-1], min(furthest[-2], e)))
     found = []
     for kind, start, end in candidates(text):
-        good = (kind, start, end) in base or kind == "secret" and bool(_ASSIGNED.search(text[max(0, start - CONTEXT) : start]))
+        mine = (kind, start, end) in base
+        good = mine or kind == "secret" and bool(_ASSIGNED.search(text[max(0, start - CONTEXT) : start]))
         # A part of another base span is neither a good nor a bad example.
-        if not any(k != "card" and s <= start and end <= e and (k, s, e) != (kind, start, end) for k, s, e in base):
+        before = bisect_right(starts, start)
+        if (second if mine and kind != "card" else furthest)[before] < end:
             found.append((kind, start, end, good))
     return found
 
 
+class _Taken:
+    """Disjoint intervals, to be asked whether another one meets them."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.ends[i - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        i = bisect_left(self.starts, start)
+        self.starts.insert(i, start)
+        self.ends.insert(i, end)
+
+
 def examples(text: str) -> list[tuple[str, list[float], float]]:
     """Kind, features and label of the candidates of a text, with their variants."""
     found = []
@@ -245,16 +281,16 @@ class Model:
         """All spans of a text, by start, then in the order of ``KINDS``."""
         base = base_spans(text)
         chosen = [(k, s, e, True) for k, s, e in base]
-        scored = []
+        covered, scored = _Taken([(s, e) for _, s, e in base]), []
         for kind, start, end in candidates(text) if self.trees else ():
-            if kind in self.thresholds and not any(s < end and start < e for _, s, e in base):
+            if kind in self.thresholds and not covered.meets(start, end):
                 value = self.score(features(kind, text[start:end], *_window(text, start, end)))
                 if int(value * STEPS) >= round(self.thresholds[kind] * STEPS):
                     scored.append((-value, start, -end, kind))
-        taken: list[tuple[int, int]] = []
+        taken = _Taken()
         for _, start, end, kind in sorted(scored):
-            if not any(s < -end and start < e for s, e in taken):
-                taken.append((start, -end))
+            if not taken.meets(start, -end):
+                taken.add(start, -end)
                 chosen.append((kind, start, -end, False))
         return sorted(chosen, key=lambda c: (c[1], KINDS.index(c[0]), c[2]))
 
@@ -280,7 +316,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     from pyspark.ml.functions import array_to_vector
 
     shared_dir(docs.sparkSession)
-    texts = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("hash"))
+    texts = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9]|" + "|".join(map(re.escape, AT)))).select("text", F.xxhash64("text").alias("hash"))
     held_out = F.pmod("hash", F.lit(3)) == 0
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,13 +347,15 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
 
     most = max(shares.values(), default=0.0)
     drawn = texts.filter(~held_out).mapInArrow(rows, "hash bigint, nth int, values array<double>, label double")
-    fitted = drawn.dropDuplicates(["hash", "nth"]).select("values", "label").checkpoint()
+    fitted = drawn.dropDuplicates(["hash", "nth"]).checkpoint()
     if fitted.agg(F.count_distinct("label")).first()[0] < 2:
         return Model([], [], {})
     grower = GBTClassifier(
         featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=11, cacheNodeIds=False
     )
-    model = grower.fit(fitted.select(array_to_vector("values").alias("vector"), "label").coalesce(2))
+    # The sample is bounded; in one order, however the documents are partitioned, the trees are the same.
+    ordered = fitted.repartition(1).sortWithinPartitions("hash", "nth")
+    model = grower.fit(ordered.select(array_to_vector("values").alias("vector"), "label"))
     result = Model(
         [float(w) for w in model.treeWeights], [_flat(t._call_java("rootNode")) for t in model.trees], {}
     )
@@ -371,22 +409,32 @@ def find(df: DataFrame, model: Model, text_col: str = "text", out: str = "spans"
     return df.withColumn(out, udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 
+def _without(text: str, spans: list[tuple]) -> str:
+    parts, at = [], 0
+    for kind, start, end, *_ in spans:
+        if start >= at:
+            parts += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
+def redact(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``df`` with every span of its texts replaced by its kind, found and replaced in one pass. NULL stays NULL."""
+    shared = df.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
+
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([_without(t, shared.value.spans(t)) if t else t for t in texts.to_pylist()], pa.string())
+
+    return df.withColumn(text_col, F.arrow_udf(clean, "string")(F.col(text_col)))
+
+
 def redacted(text: str | Column, spans: str | Column) -> Column:
     """The text with every span replaced by its kind in brackets, overlapping spans together by the first."""
 
     def replaced(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for t, found in zip(texts.to_pylist(), lists.to_pylist()):
-            if not t or not found:
-                out.append(t)
-                continue
-            parts, at = [], 0
-            for s in found:
-                if s["start"] >= at:
-                    parts += [t[at : s["start"]], f"[{s['kind'].upper()}]"]
-                at = max(at, s["end"])
-            out.append("".join(parts) + t[at:])
-        return pa.array(out, pa.string())
+        rows = zip(texts.to_pylist(), lists.to_pylist())
+        return pa.array([_without(t, [(s["kind"], s["start"], s["end"]) for s in found or ()]) if t else t for t, found in rows], pa.string())
 
     replaced.__annotations__ = {"texts": pa.Array, "lists": pa.Array, "return": pa.Array}
     return F.arrow_udf(replaced, "string")(text, spans)
