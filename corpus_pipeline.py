@@ -26,18 +26,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Rows with a NULL id stay. Rows that repeat an id and a text stay once.
+    Rows with a NULL id stay. Rows that repeat an id and a text stay once, those that share an id but not
+    the text are judged each by its own text.
     """
-    kept = neardup.near_duplicates(docs, "doc_id", "text").filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id").dropDuplicates(["doc_id", "text"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return neardup.one_of_each(docs, "doc_id", "text")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind; ``n_chars`` counts the new text."""
-    spans = unused(docs, "spans")
-    found = pii.find(docs, pii.fit(docs, "text"), "text", spans)
-    clean = found.withColumn("text", F.when(F.size(spans) > 0, pii.redacted("text", spans)).otherwise(F.col("text")))
+    """Texts with personal data replaced by its kind; ``n_chars`` counts the new text.
+
+    NULL and empty texts stay as they are, and so do repeated rows, each of which is changed alike.
+    """
+    clean = pii.redact(docs, pii.fit(docs, "text"), "text")
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
@@ -56,12 +56,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, whether they decode to it again, and the document's slot and place in the mix.
 
     A reader that packs files anew loses the order in which the mixing stage wrote them, so the
-    result has it as columns: sorted by ``slot`` (NULLs last) and ``place`` it is the mix.
+    result has it as columns: sorted by ``slot`` (NULLs last) and ``place`` it is the mix. A NULL text has no
+    ids and does not change the others; further columns of the table go no further than this stage.
     """
     docs = docs.select("doc_id", "lang", "source", "n_chars", "text")
     placed = _mixed(docs, "mix").select("*", "mix.slot", "mix.place")
     ids, back = "token_ids", "decoded"
-    coded = bpe.decode(bpe.encode(mixing.in_mixed_order(placed, "mix"), "text", vocabulary(), ids), ids, vocabulary(), back)
+    coded = bpe.round_trip(mixing.in_mixed_order(placed, "mix"), "text", vocabulary(), ids, back)
     return coded.select(
         "doc_id", "lang", "source", "n_chars", "text",
         F.size(ids).cast("bigint").alias("n_tokens"),
