@@ -199,32 +199,32 @@ def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = f"""
 WITH RECURSIVE
-counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-exact AS (
-  SELECT source, pow(n, 0.7) * greatest({mixing.CYCLE}, 2 * count(*) OVER ()) / sum(pow(n, 0.7)) OVER () AS x,
-         greatest({mixing.CYCLE}, 2 * count(*) OVER ()) AS c
+counts AS (SELECT source, count(*) AS n, ceil(count(*) / {mixing.BLOCK}.0)::BIGINT AS blocks FROM documents GROUP BY source),
+steps_of AS (
+  SELECT source, blocks, greatest(1, floor(pow(n, 0.7) / max(pow(n, 0.7)) OVER () * {mixing.PRECISION} + 0.5))::BIGINT AS w,
+         2 * greatest({mixing.LIMIT // 4}, count(*) OVER ()) AS most
   FROM counts),
-whole AS (SELECT *, greatest(1, floor(x))::BIGINT AS f FROM exact),
-ranked AS (
-  SELECT *, c - sum(f) OVER () AS spare, row_number() OVER (ORDER BY x - f DESC, source NULLS FIRST) AS r FROM whole),
-shares AS (SELECT source, f + (r <= spare)::BIGINT AS a FROM ranked),
-plan AS (SELECT list(source ORDER BY source NULLS FIRST) AS s, list(a ORDER BY source NULLS FIRST) AS a, sum(a)::BIGINT AS m FROM shares),
-steps(slot, done, pick) AS (
-  SELECT -1::BIGINT, list_transform(a, lambda x: 0::BIGINT), NULL::BIGINT FROM plan
+weights AS (SELECT source, blocks, greatest(w, (sum(w) OVER () + most - 1) // most)::BIGINT AS w FROM steps_of),
+plan AS (
+  SELECT list(source ORDER BY source NULLS FIRST) AS s, list(w ORDER BY source NULLS FIRST) AS w, sum(w)::BIGINT AS total,
+         least(greatest({mixing.LIMIT}, 4 * count(*)), max(ceil(blocks * (total_w / w)) + 1))::BIGINT AS cycle
+  FROM (SELECT *, (sum(w) OVER ())::DOUBLE AS total_w FROM weights)),
+walk(slot, done, pick) AS (
+  SELECT -1::BIGINT, list_transform(w, lambda x: 0::BIGINT), NULL::BIGINT FROM plan
   UNION ALL
   SELECT slot + 1, list_transform(done, lambda d, i: d + (i = k)::BIGINT), k
   FROM (
     SELECT slot, done,
-           list_min(list_filter(list_transform(range(1, len(a) + 1), lambda i:
-             CASE WHEN done[i] < a[i] AND done[i] * m < (slot + 2) * a[i]
-                  THEN ((done[i] + 1) * m + a[i] - 1) // a[i] * 1000000 + i END), lambda v: v IS NOT NULL)) % 1000000 AS k
-    FROM steps, plan WHERE slot + 1 < m)),
-schedule AS (
-  SELECT s[pick] AS source, done[pick] - 1 AS turn, slot, m, a[pick] AS a FROM steps, plan WHERE slot >= 0),
+           list_min(list_filter(list_transform(range(1, len(w) + 1), lambda i:
+             CASE WHEN done[i] * total < (slot + 2) * w[i]
+                  THEN (((done[i] + 1) * total + w[i] - 1) // w[i]) * 1000000 + i END), lambda v: v IS NOT NULL)) % 1000000 AS k
+    FROM walk, plan WHERE slot + 1 < cycle)),
+schedule AS (SELECT s[pick] AS source, done[pick] - 1 AS turn, slot, cycle FROM walk, plan WHERE slot >= 0),
+slots AS (SELECT source, count(*) AS a FROM schedule GROUP BY source),
 placed AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('mix' || doc_id::VARCHAR), doc_id) - 1 AS n FROM documents)
-SELECT doc_id, p.source, n // {mixing.BLOCK} AS block, (n // {mixing.BLOCK}) // h.a * m + slot AS slot, (n % {mixing.BLOCK})::INT AS place
-FROM placed p JOIN shares h ON p.source IS NOT DISTINCT FROM h.source
+SELECT doc_id, p.source, n // {mixing.BLOCK} AS block, (n // {mixing.BLOCK}) // h.a * cycle + slot AS slot, (n % {mixing.BLOCK})::INT AS place
+FROM placed p JOIN slots h ON p.source IS NOT DISTINCT FROM h.source
 JOIN schedule c ON c.source IS NOT DISTINCT FROM p.source AND c.turn = (n // {mixing.BLOCK}) % h.a
 """
 
