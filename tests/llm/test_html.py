@@ -1,3 +1,7 @@
+import random
+import time
+from collections import Counter
+
 import pytest
 
 from lakeloom.llm.html import content_paths, extract, main_text, text_nodes
@@ -90,7 +94,9 @@ def test_paths_without_semantic_names():
     links = "<div><span>" + "</span><span>".join(f"Link {i}" for i in range(20)) + "</span></div>"
     story = "<div>" + "".join(f"<p>A sentence, with some words, number {i}. And one more; it is longer.</p>" for i in range(5)) + "</div>"
     page = f"<body>{links}{story}{links}</body>"
-    assert {p[-1] for p in content_paths(text_nodes(page))} == {"p"}
+    elements, nodes = text_nodes(page)
+    paths = content_paths(elements, nodes)
+    assert {e.tag for e in elements if e.path in paths} == {"p"}
     assert "Link" not in main_text(page) and main_text(page).count("\n\n") == 4
 
 
@@ -105,3 +111,63 @@ def test_frame(spark):
     found = extract(spark.createDataFrame(rows, "page_id bigint, html string, text string")).collect()
     assert sorted(r.text[:4] for r in found) == ["", "Head", "Head", "x"] and found[0].asDict().keys() == {"page_id", "html", "text"}
     assert extract(spark.createDataFrame([], "html string")).collect() == []
+
+
+# --- pages without semantic names, with their gold texts --------------------------------------
+
+PARTS = [
+    "A first sentence of the article, which is long enough to count.", "A second one, with more words in it, and a clause.",
+    "And a third; it ends here, as it must.",
+]
+STORY = "".join(f"<p>{p}</p>" for p in PARTS)
+GOLD = "\n\n".join(["Title", *PARTS])
+MENU = "<div><a href='/'>Home</a> <a href='/p'>Prices</a></div><div><a href='/s'>Sign in</a></div>"
+COMMENTS = "".join(f"<div class='{{0}}'><b>User {i}</b><p>I liked it, really, number {i}, a lot of it, I did.</p></div>" for i in range(4))
+PAGES = [
+    (f"<body>{MENU}<div><h1>Title</h1>{STORY}</div><div>We are a company.</div></body>", GOLD),
+    (f"<body>{MENU}<div><h1>Title</h1>{STORY}</div><span>We are a company.</span></body>", GOLD),
+    (f"<body>{MENU}<div><h1>Title</h1>{STORY}</div><div>Copyright 2024 Some Company Inc., all rights reserved.</div></body>", GOLD),
+    (f"<body><a>Home</a><a>Prices</a><h1>Title</h1>{STORY}<a>More</a></body>", GOLD),
+    (f"<body><div class=search><h1>Title</h1>{STORY}</div></body>", GOLD),
+    (f"<body><div id=menu><div><h1>Title</h1>{STORY}</div></div></body>", GOLD),
+    (f"<body><article><h1>Title</h1>{STORY}<section class=social><p>More, of it, in this section. And so on.</p></section></article></body>", GOLD + "\n\nMore, of it, in this section. And so on."),
+    (f"<body><div><h1>Title</h1>{STORY}</div><div>{COMMENTS.format('reply')}</div></body>", GOLD),
+    # Units that no name gives away: told apart by their number and the article's greater share.
+    *[
+        (f"<body><div><h1>Title</h1>{STORY * 5}</div>{wrap[0]}{COMMENTS.format(name)}{wrap[1]}</body>", "\n\n".join(["Title", *PARTS * 5]))
+        for name in ("user-review", "box") for wrap in (("", ""), ("<div>", "</div>"))
+    ],
+    (f"<body><div>{MENU}</div><div><div><h1>Title</h1><p>{PARTS[0]}</p><h2>Middle</h2><p>{PARTS[1]}</p><p>{PARTS[2]}</p></div></div></body>", "\n\n".join(["Title", PARTS[0], "Middle", *PARTS[1:]])),
+    (f"<body><table><tr><td>{MENU}</td><td><h1>Title</h1>{STORY}</td></tr></table></body>", GOLD),
+]
+
+
+def f1(got, want):
+    a, b = Counter(got.split()), Counter(want.split())
+    return 2 * sum((a & b).values()) / max(1, sum(a.values()) + sum(b.values()))
+
+
+@pytest.mark.parametrize("page, gold", PAGES)
+def test_gold_pages(page, gold):
+    assert main_text(page) == gold
+
+
+def test_gold_pages_inside_random_surroundings():
+    """Token F1 over pages put together at random."""
+    rng = random.Random(4)
+    scores = []
+    for _ in range(200):
+        n = rng.randint(3, 12)
+        parts = [" ".join(f"word{rng.randint(0, 99)}" for _ in range(rng.randint(6, 40))) + ", so it is. And more." for _ in range(n)]
+        wrap = rng.choice(["div", "section", "td", "main", "article"])
+        body = f"<{wrap}><h1>Head line</h1>" + "".join(f"<p>{p}</p>" for p in parts) + f"</{wrap}>"
+        body = rng.choice([MENU, "", f"<nav>{MENU}</nav>", f"<ul class=menu>{MENU}</ul>"]) + body + rng.choice(["", "<footer>Us, here.</footer>", "<div>About us.</div>", COMMENTS.format("c")])
+        scores.append(f1(main_text(f"<body>{body}</body>"), "Head line " + " ".join(parts)))
+    assert sum(scores) / len(scores) > 0.97 and min(scores) > 0.6
+
+
+@pytest.mark.parametrize("page", ["<b>" * 20_000 + "<i>a piece, of it.</i> " * 20_000, "<b><p>x, y. " * 20_000, "<div>" * 20_000 + "text, here.", "<li>x, y." * 20_000, "<td>" * 9_000 + "<tr>" * 9_000])
+def test_deep_nesting_takes_linear_time(page):
+    began = time.monotonic()
+    main_text(f"<body>{page}")
+    assert time.monotonic() - began < 20
