@@ -14,6 +14,7 @@ from .columns import (
     line_amount,
     mapped,
     mask_email,
+    mask_text,
     mean_half_up,
     net_cents,
     padded_id,
@@ -35,6 +36,7 @@ __all__ = [
     "line_amount",
     "mapped",
     "mask_email",
+    "mask_text",
     "mean_half_up",
     "net_cents",
     "padded_id",

@@ -189,6 +189,22 @@ def mask_email(c: str | Column, keep: int = 2) -> Column:
     return F.concat(F.substring(c, 1, keep), F.lit("***@"), F.get(F.split(c, "@"), F.lit(1)))
 
 
+#: What is masked in free text, in this order, and what stands for it.
+TEXT_MASKS = (
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[email]"),
+    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "[ip]"),
+    (r"\+?[0-9][0-9 ().-]{7,}[0-9]", "[number]"),
+)
+
+
+def mask_text(c: str | Column) -> Column:
+    """Free text, such as a log line, with addresses and long numbers replaced. NULL stays NULL."""
+    c = _col(c)
+    for pattern, mark in TEXT_MASKS:
+        c = F.regexp_replace(c, pattern, mark.replace("[", "\\[").replace("]", "\\]"))
+    return c
+
+
 def padded_id(prefix: str, width: int, c: str | Column) -> Column:
     return F.format_string(f"{prefix}%0{width}d", _col(c).cast("bigint"))
 

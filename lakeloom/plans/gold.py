@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, date_key, exact, exact_type, mask_email, mean_half_up
@@ -110,6 +110,28 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -
     )
 
 
+def dim_of(rows: DataFrame, column: str, key: str) -> DataFrame:
+    """A small dimension of the values of one column, numbered in their order; NULL gets no key."""
+    return dense_key(rows.select(column).filter(F.col(column).isNotNull()).distinct(), column, key)
+
+
+def fact_payment_attempts(payments: DataFrame, orders: DataFrame, methods: DataFrame, statuses: DataFrame) -> DataFrame:
+    """One row per attempt with its number within the order, flags and keys; the dimensions carry value and key.
+
+    Attempts are numbered by time, then id. An attempt without an order stays, without order attributes.
+    """
+    numbered = payments.withColumn(
+        "attempt_no", F.row_number().over(Window.partitionBy("order_id").orderBy("payment_timestamp", "payment_id"))
+    )
+    slim = orders.select("order_id", "customer_id", date_key("order_date").alias("order_date_key"))
+    keyed = chain_join(numbered, [(slim, "order_id", "left"), (methods, "payment_method", "left"), (statuses, "payment_status", "left")])
+    flag = lambda status: F.coalesce((F.col("payment_status") == status).cast("int"), F.lit(0))
+    return keyed.select(
+        "payment_id", "order_id", "customer_id", "order_date_key", "payment_method_key", "payment_status_key", "attempt_no",
+        flag("success").alias("is_success"), flag("failed").alias("is_failed"), "amount", "payment_timestamp",
+    )
+
+
 def last_payment(payments: DataFrame) -> DataFrame:
     """Status and method of the last attempt, both from the same row."""
     return latest_attrs(

@@ -101,3 +101,17 @@ def stream_profile(
         ).alias("out_of_order_share")
     )
     return _long(simple, "stream", targets).unionByName(_long(order, "stream", targets))
+
+
+def daily_health(df: DataFrame, ts: str, stale_after: int = 3600, deviations: float = 3.0) -> DataFrame:
+    """Per day: ``events``, ``stale`` (its last row is more than ``stale_after`` seconds before midnight) and
+    ``odd_volume`` (its rows are more than ``deviations`` standard deviations from the mean of all days).
+
+    Rows without a time count for no day. The days' mean and deviation are computed once, from one row per day.
+    """
+    known = df.filter(F.col(ts).isNotNull())
+    days = known.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("events"), F.max(ts).alias("_last"))
+    spread = days.agg(F.avg("events").alias("m"), F.stddev_pop("events").alias("s"))
+    m, s = (spread.select(c).scalar() for c in ("m", "s"))
+    left = F.unix_seconds(F.date_add("day", 1).cast("timestamp")) - F.unix_seconds(F.col("_last").cast("timestamp"))
+    return days.select("day", "events", (left > stale_after).alias("stale"), (F.abs(F.col("events") - m) > deviations * s).alias("odd_volume"))

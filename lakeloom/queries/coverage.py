@@ -13,6 +13,7 @@ from ..operators.joins import star_join, unmatched
 from ..plans import gold
 from ..plans.checks import has_columns, run_checks
 from ..plans.layers import clean_items, clean_orders
+from ..plans.profile import daily_health
 from ..plans.runner import lineage, retail_stages
 from ..session import scratch
 from ..sources.readers import optional_table, register_views, union_by_name
@@ -154,12 +155,7 @@ def merge_by_event_time(spark, d):
 
 def freshness_and_volume(spark, d):
     """Per day: hours from the day's last event to midnight, and whether volume leaves the mean by three deviations."""
-    events = raw.table(spark, d, "events")
-    days = events.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("last"))
-    spread = days.agg(F.avg("events").alias("m"), F.stddev_pop("events").alias("s"))
-    m, s = (spread.select(c).scalar() for c in ("m", "s"))
-    stale = F.unix_seconds((F.date_add("day", 1)).cast("timestamp")) - F.unix_seconds(F.col("last").cast("timestamp"))
-    return days.select("day", "events", (stale > 3600).alias("stale"), (F.abs(F.col("events") - m) > 3 * s).alias("odd_volume"))
+    return daily_health(raw.table(spark, d, "events"), "ts")
 
 
 QUERIES = {

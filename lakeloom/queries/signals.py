@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum
+from ..functions import exact_sum, mask_text
+from ..functions.columns import TEXT_MASKS
 from ..operators.joins import spread_join
 from ..operators.ordering import rolling_sums
 from ..operators.sketches import RANK_ERROR, hour_table, rank_bounds, rolled_up
-from ..plans import views
+from ..plans import gold, views
 from ..sources.writers import staged
 from . import raw
 from .features import DAY_VIEW, day_features, day_labels
@@ -88,6 +89,20 @@ def wide_amounts(spark, d):
     return rows.groupBy("o_orderpriority").agg(exact_sum("wide", 2).alias("wide"), exact_sum("tiny", 10).alias("tiny"))
 
 
+def payment_attempts(spark, d):
+    """Attempts with keys of their method and status."""
+    paid = raw.raw_payments(spark, d)
+    methods, statuses = gold.dim_of(paid, "payment_method", "payment_method_key"), gold.dim_of(paid, "payment_status", "payment_status_key")
+    return gold.fact_payment_attempts(paid, raw.raw_orders(spark, d), methods, statuses)
+
+
+def masked_texts(spark, d):
+    """Texts as they may go to a log: how long they are then, and what was masked."""
+    rows = raw.table(spark, d, "documents").select("doc_id", mask_text("text").alias("t"))
+    marks = [F.regexp_count("t", F.lit(rf"\[{m}\]")).cast("bigint").alias(f"{m}s") for m in ("email", "ip", "number")]
+    return rows.select("doc_id", F.md5(F.col("t").cast("binary")).alias("masked_md5"), *marks)
+
+
 _HOURS = """
     SELECT user_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS event_timestamp,
            count(*) FILTER (WHERE event_type = 'view') AS f_views_1h, count(*) FILTER (WHERE event_type = 'click') AS f_clicks_1h
@@ -95,7 +110,31 @@ _HOURS = """
 _ERRORS = """
     SELECT user_id, ts AS event_timestamp, max(value) AS f_error_value FROM events WHERE event_type = 'error' GROUP BY user_id, ts"""
 
+_MASKED = "text"
+for _pattern, _mark in TEXT_MASKS:
+    _MASKED = f"regexp_replace({_MASKED}, '{_pattern}', '{_mark}', 'g')"
+
 QUERIES = {
+    "payment_attempts": (
+        payment_attempts,
+        """
+        WITH m AS (SELECT payment_method, row_number() OVER (ORDER BY payment_method) AS k FROM (SELECT DISTINCT payment_method FROM raw_payments)),
+        s AS (SELECT payment_status, row_number() OVER (ORDER BY payment_status) AS k FROM (SELECT DISTINCT payment_status FROM raw_payments))
+        SELECT payment_id, p.order_id, customer_id, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS order_date_key,
+               m.k AS payment_method_key, s.k AS payment_status_key,
+               CAST(row_number() OVER (PARTITION BY p.order_id ORDER BY payment_timestamp, payment_id) AS INTEGER) AS attempt_no,
+               CAST(payment_status = 'success' AS INTEGER) AS is_success, CAST(payment_status = 'failed' AS INTEGER) AS is_failed,
+               amount, payment_timestamp
+        FROM raw_payments p LEFT JOIN raw_orders o ON o.order_id = p.order_id
+        LEFT JOIN m USING (payment_method) LEFT JOIN s USING (payment_status)""",
+    ),
+    "masked_texts": (
+        masked_texts,
+        f"""
+        SELECT doc_id, md5(t) AS masked_md5, len(regexp_extract_all(t, '\\[email\\]')) AS emails,
+               len(regexp_extract_all(t, '\\[ip\\]')) AS ips, len(regexp_extract_all(t, '\\[number\\]')) AS numbers
+        FROM (SELECT doc_id, {_MASKED} AS t FROM documents)""",
+    ),
     "unified_features": (
         unified_features,
         f"""

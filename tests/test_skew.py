@@ -17,7 +17,8 @@ SKEWED = {
 NAMES = (
     "order_wide top_stores fact_orders fact_order_items customer_90d_line customer_90d_order historical_features "
     "historical_features_left dedup_items dedup_report keys_without_rows attempt_sequence rolling_60m latest_per_key "
-    "materialize_latest dq_referential dq_reconcile stream_profile scd2"
+    "materialize_latest dq_referential dq_reconcile stream_profile scd2 unified_features training_set failure_rate_90d "
+    "log_rollup index_coverage payment_attempts time_split"
 ).split()
 
 
