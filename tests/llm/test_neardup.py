@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -121,3 +122,62 @@ def test_components(spark, links):
             root[hi] = lo
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {n: find(n) for n in root}
+
+
+def test_ids_with_several_texts_keep_their_links(spark):
+    """A near copy of the second text of an id is linked through it."""
+    rng = random.Random(11)
+    vocab = [f"v{i}" for i in range(400)]
+    a, b = (" ".join(rng.choices(vocab, k=90)) for _ in range(2))
+    rows = [(1, a), (5, a), (5, b), (7, b + " more"), (9, b)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # 5 has two texts: one reaches 1, the other is the smallest of its own component.
+    assert got == {(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False), (9, 5, False)}
+    kept = neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([(1, a), (5, b)])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_tables_with_repeated_ids(spark, seed):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(300)]
+    bases = [rng.choices(vocab, k=rng.choice([4, 30, 80])) for _ in range(8)]
+    rows = []
+    for _ in range(60):
+        text = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            text[rng.randrange(len(text))] = rng.choice(vocab)
+        rows.append((rng.choice([None, *range(25)]), " ".join(text)))
+    rows += rows[:5]
+    sets = [set(neardup.shingle_hashes(neardup.words(t)).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if None not in (rows[i][0], rows[j][0]) and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (id_, _) in enumerate(rows):
+        if id_ is not None:
+            least[find(i)] = min(id_, least.get(find(i), id_))
+    want = sorted((str(id_), len(s), str(None if id_ is None else least[find(i)])) for i, ((id_, _), s) in enumerate(zip(rows, sets)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in neardup.near_duplicates(df).collect())
+    assert got == want
+    # One row of each component stays, and all rows without an id.
+    kept = neardup.one_of_each(df)
+    groups = {least[find(i)] if id_ is not None else None: 0 for i, (id_, _) in enumerate(rows)}
+    assert kept.filter("doc_id IS NOT NULL").count() == len({find(i) for i, (id_, _) in enumerate(rows) if id_ is not None})
+    assert kept.filter("doc_id IS NULL").count() == sum(id_ is None for id_, _ in rows) and groups
+
+
+def test_the_row_that_stays_is_the_same_for_any_partitioning(spark):
+    rows = [(1, "one text of some words to keep", s) for s in ("z", "b", "c")] + [(2, "one text of some words to keep", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {tuple(r) for n in (1, 3, 7) for r in neardup.one_of_each(df.repartition(n)).collect()} == {(1, rows[0][1], "b")}

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -130,3 +132,48 @@ def test_long_tokens_and_domains(model):
 @pytest.mark.parametrize("text", ["a1" * 300_000, "=" * 300_000 + "1 ", "a[at]" * 60_000 + "1", "x at " * 60_000 + "1", "1[at" * 60_000])
 def test_unbounded_runs_take_linear_time(text):
     pii.candidates(text)
+
+
+def test_very_long_numbers_are_no_crash():
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [("ip", 0, 5006)]
+    assert pii.base_spans("9" * 5000 + ".1.1.1") == []
+    assert pii.examples("x " + "0" * 5000 + ".1.1.1 y") is not None
+
+
+def test_a_text_needs_no_digit_to_have_candidates():
+    for form in ("john(at)example.com", "john[at]example.com", "john at example.com"):
+        alone = [c for c in pii.candidates(f"write to {form} please") if c[0] == "email"]
+        assert alone and alone == [c for c in pii.candidates(f"write to {form} please 7") if c[0] == "email"]
+
+
+def test_many_spans_take_seconds():
+    text = " ".join(f"user{i}@example{i}.com 10.{i % 256}.0.1" for i in range(50_000))
+    began = time.monotonic()
+    found = pii.labelled(text)
+    model = pii.Model([1.0], [[(None, 1.0)]], {k: 0.5 for k in pii.KINDS})
+    spans = model.spans(text)
+    assert time.monotonic() - began < 60
+    assert sum(good for *_, good in found) == 100_000 and len(spans) >= 100_000
+
+
+def test_spans_around_others_against_all_pairs():
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice(["a@b.com", "10.0.0.1", "+49 170 1234567", " ", "1.2.3.4.5", ",", "x", "4111 1111 1111 1111", "7"]) for _ in range(rng.randint(1, 14)))
+        base = set(pii.base_spans(text))
+        want = [
+            (k, s, e) for k, s, e in pii.candidates(text)
+            if not any(kk != "card" and ss <= s and e <= ee and (kk, ss, ee) != (k, s, e) for kk, ss, ee in base)
+        ]
+        assert [c[:3] for c in pii.labelled(text)] == want
+        model = pii.Model([1.0], [[(None, 1.0)]], {k: 0.5 for k in pii.KINDS})
+        added = [c for c in model.spans(text) if not c[3]]
+        assert not any(s < e2 and s2 < e for _, s, e, _ in added for _, s2, e2, b in model.spans(text) if (s, e) != (s2, e2))
+
+
+def test_trees_do_not_depend_on_the_partitioning(spark):
+    rng = random.Random(6)
+    rows = [(f"mail me at user{i}@site{i % 7}.org or {rng.randint(1, 255)}.1.2.{i % 300}, token={rng.getrandbits(128):032x} +49 170 {1000000 + i}",) for i in range(150)]
+    df = spark.createDataFrame(rows, "text string")
+    a, b = (pii.fit(df.repartition(n)) for n in (2, 7))
+    assert (a.trees, a.weights, a.thresholds) == (b.trees, b.weights, b.thresholds)
