@@ -5,7 +5,7 @@
    Texts with the same words form a class and go on as one representative.
 2. Documents that share a band are candidates. In each band bucket every member meets the smallest
    one first, which is enough for groups of copies. Members of a bucket that are then still in
-   different components are looked at again: one with too many shingles that no other such member
+   different components meet a few members of another one, and those that are still apart are looked at again: one with too many shingles that no other such member
    has cannot be similar to any of them, which settles the outliers of large groups. The rest meet in blocks.
 3. A candidate pair stays if the similarity estimated from equal signature parts, corrected for
    chance collisions, is at most ``MARGIN`` below the threshold. The survivors are confirmed on
@@ -45,6 +45,7 @@ SIMILARITY = Fraction(3, 4)
 BANDS, ROWS, BITS = 32, 4, 2
 PERMUTATIONS = BANDS * ROWS
 MARGIN = 0.22  # nearly five standard errors of the estimate at the threshold
+ANCHORS, ROUNDS = 8, 2  # members of a component that others are held against, and how often, before blocks
 BLOCK = 512  # members of a bucket side by side in one block
 Texts = Callable[[DataFrame], DataFrame]  # texts of the given nodes
 
@@ -162,6 +163,23 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.join(keys, "key")
 
 
+def _anchored(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of members of open buckets with ``ANCHORS`` members of another component of the bucket.
+
+    In a large group whose members are similar in part, the smallest member of a bucket reaches some of them only; a
+    few others reach most of the rest. At most ``ANCHORS`` pairs for each member and each component it is held against.
+    """
+    placed = buckets.filter("rep <> leader").join(labels, F.col("rep") == F.col("node"), "left")
+    placed = placed.select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    ends = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    other = F.when(F.col("root") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
+    asked = placed.join(ends, "key").select("rep", other.alias("target")).distinct()
+    place = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("node"), "node"))
+    anchors = labels.withColumn("place", place).filter(F.col("place") <= ANCHORS).select(F.col("root").alias("target"), "node")
+    pairs = asked.join(anchors, "target", "left").select("rep", F.coalesce("node", "target").alias("node")).filter("rep <> node")
+    return pairs.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
+
+
 def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts, similarity: Fraction) -> DataFrame:
     """Promising pairs in buckets that hold members of several components, apart from pairs with
     the smallest member, which have been looked at.
@@ -252,11 +270,21 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
     first = buckets.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     links = check(promising(first, signs, similarity).checkpoint()).checkpoint()
     labels = components(links).checkpoint()
-    more = _rest(buckets, labels, signs, nodes.texts, similarity).join(first, ["a", "b"], "left_anti").checkpoint()
-    if not more.isEmpty():
-        # The components found so far stand for their links.
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        """Labels with the links among further pairs; the components found so far stand for their links."""
         linked = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        labels = components(linked.unionByName(check(more))).checkpoint()
+        return components(linked.unionByName(check(pairs))).checkpoint()
+
+    met = first.checkpoint()
+    for _ in range(ROUNDS):
+        pairs = promising(_anchored(buckets, labels).join(met, ["a", "b"], "left_anti"), signs, similarity).checkpoint()
+        if pairs.isEmpty():
+            break
+        labels, met = joined(pairs), met.unionByName(pairs)
+    more = _rest(buckets, labels, signs, nodes.texts, similarity).join(met, ["a", "b"], "left_anti").checkpoint()
+    if not more.isEmpty():
+        labels = joined(more)
     placed = nodes.components(labels).withColumnsRenamed({"id": "_id", "th": "_th"})
     # Of a component's sets, the one with its smallest id stands for it: its own root, or a further set of a smaller id.
     stands = placed.filter(F.col("_id") == F.col("component")).groupBy("root").agg(F.min("node").alias("stands"))
