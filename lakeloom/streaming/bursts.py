@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,9 +22,10 @@ class _Windows(StatefulProcessor):
     lives ``trailing`` windows longer, in event time.
     """
 
-    def __init__(self, size: int, trailing: int, factor: float, least: int, kinds: int, keys: Sequence[str], names: Sequence[str]):
-        self.size, self.trailing, self.factor, self.least, self.kinds = size, trailing, factor, least, kinds
-        self.keys, self.names = list(keys), list(names)
+    def __init__(self, size: int, trailing: int, factor: float, least: int, keys: Sequence[str], names: Sequence[str]):
+        self.size, self.trailing, self.factor, self.least = size, trailing, factor, least
+        self.names, self.kinds = list(names), len(names)
+        self.columns = [*keys, "start_ms", *names, "baseline", "burst"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -42,20 +42,20 @@ class _Windows(StatefulProcessor):
         else:
             self.state.clear()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         windows = self._load()
-        for part in rows:
-            part = part.groupby("start_ms")[self.names].sum()
-            for start, *counts in part.itertuples(name=None):
-                start = int(start)
-                if start not in windows:
-                    self.handle.registerTimer(start + self.size)  # the window ends
-                    self.handle.registerTimer(start + self.size * (self.trailing + 1))  # no baseline needs it any more
-                windows[start] = [a + int(b) for a, b in zip(windows.get(start, [0] * self.kinds), counts)]
+        newest = max(windows, default=-1)
+        for row in rows:
+            start = row.start_ms
+            if start not in windows:
+                self.handle.registerTimer(start + self.size)  # the window ends
+            windows[start] = [a + row[n] for a, n in zip(windows.get(start, [0] * self.kinds), self.names)]
+        if max(windows) > newest:
+            self.handle.registerTimer(max(windows) + self.size * (self.trailing + 1))  # no baseline needs any of them then
         self._save(windows)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         windows, start = self._load(), at - self.size
         out = []
@@ -64,13 +64,11 @@ class _Windows(StatefulProcessor):
             before = sum(c[0] for s, c in windows.items() if first <= s < start)
             counts = windows[start]
             burst = counts[0] >= self.least and counts[0] * self.trailing >= self.factor * before
-            out.append((*key, start, *counts, before / self.trailing, burst))
+            out.append(Row(*self.columns)(*key, start, *counts, before / self.trailing, burst))
         kept = {s: c for s, c in windows.items() if s + self.size * (self.trailing + 1) > at}
         if len(kept) < len(windows):
             self._save(kept)
-        if not out:
-            return iter([])
-        return iter([pd.DataFrame(out, columns=[*self.keys, "start_ms", *self.names, "baseline", "burst"])])
+        return iter(out)
 
 
 def burst_windows(
@@ -90,7 +88,7 @@ def burst_windows(
     slim = rows.select(*keys, ts, (millis - F.pmod(millis, F.lit(size))).alias("start_ms"), *[c.cast("bigint").alias(n) for n, c in counts.items()])
     kinds = ", ".join(f"{k} {slim.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, start_ms bigint, {', '.join(f'{n} bigint' for n in names)}, baseline double, burst boolean"
-    found = slim.groupBy(*keys).transformWithStateInPandas(
-        _Windows(size, trailing, factor, least, len(names), keys, names), schema, "append", "eventTime"
+    found = slim.groupBy(*keys).transformWithState(
+        _Windows(size, trailing, factor, least, keys, names), schema, "append", "eventTime"
     )
     return found.select(*keys, F.timestamp_millis("start_ms").alias("window_start"), *names, "baseline", "burst")
