@@ -85,7 +85,7 @@ def burst_windows(
     keys, names = list(keys), list(counts)
     rows = with_watermark(df.dropna(subset=[*keys, ts]), ts, lateness)
     millis = F.unix_millis(ts)
-    slim = rows.select(*keys, ts, (millis - F.pmod(millis, F.lit(size))).alias("start_ms"), *[c.cast("bigint").alias(n) for n, c in counts.items()])
+    slim = rows.select(*keys, ts, (millis - F.pmod(millis, F.lit(size))).alias("start_ms"), *[F.coalesce(c.cast("bigint"), F.lit(0)).alias(n) for n, c in counts.items()])
     kinds = ", ".join(f"{k} {slim.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, start_ms bigint, {', '.join(f'{n} bigint' for n in names)}, baseline double, burst boolean"
     found = slim.groupBy(*keys).transformWithState(
