@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 BLOCKS = 8  # of eight replicates of the bootstrap, each from one digest
 
 
@@ -31,7 +33,9 @@ def time_split(df: DataFrame, ts: str, cut: str, horizon: str = "0 days", out: s
 def fit_baseline(train: DataFrame, features: Sequence[str], label: str, seed_columns: str = "_ml") -> PipelineModel:
     """Logistic regression over scaled numeric features; a NULL feature becomes the mean of the training rows.
 
-    Rows without a label do not count. Columns that the model adds begin with ``seed_columns``.
+    Rows without a label do not count. Columns that the model adds begin with ``seed_columns``. The model is written
+    and read again: the training summary of a fitted one holds the session, which cannot go to the executors
+    once the session has observed a frame.
     """
     filled = [f"{seed_columns}_{f}" for f in features]
     vector, scaled = f"{seed_columns}_vector", f"{seed_columns}_scaled"
@@ -45,7 +49,10 @@ def fit_baseline(train: DataFrame, features: Sequence[str], label: str, seed_col
         ),
     ]
     numbers = {f: F.col(f).cast("double") for f in features}
-    return Pipeline(stages=stages).fit(train.filter(F.col(label).isNotNull()).withColumns(numbers | {label: F.col(label).cast("double")}))
+    known = train.filter(F.col(label).isNotNull()).withColumns(numbers | {label: F.col(label).cast("double")})
+    path = scratch(train.sparkSession, "baseline")
+    Pipeline(stages=stages).fit(known).save(path)
+    return PipelineModel.load(path)
 
 
 def scored(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "score") -> DataFrame:

@@ -11,6 +11,7 @@ from lakeloom.operators.retrieval import SENTENCE, chunks, index_state, ranked_m
 from lakeloom.plans import learning
 from lakeloom.plans.runner import Stage, StreamRecords, append_records, read_records, run_stages
 from lakeloom.streaming.ingest import append_to_table
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 T0 = dt.datetime(2025, 1, 1)
@@ -47,6 +48,16 @@ def test_baseline_beats_the_larger_class(spark):
     assert found.f1 == pytest.approx(2 * found.precision * found.recall / (found.precision + found.recall))
 
 
+def test_baseline_after_an_observed_frame(spark):
+    parts = learning.time_split(labelled(spark), "at", "2025-07-01").cache()
+    seen = Observation("rows before the model")
+    parts.observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] > 0
+    model = learning.fit_baseline(parts.filter("split = 'train'"), ["x", "y"], "label")
+    test = learning.scored(model, parts.filter("split = 'test'"), ["x", "y"])
+    assert test.filter("score IS NOT NULL").count() == test.count() > 0
+
+
 def test_confusion_without_rows_and_labels(spark):
     df = spark.createDataFrame([(None, 0.7), (1, None)], "label int, score double")
     got = learning.confusion(df, "label", "score").first()
