@@ -30,6 +30,33 @@ def test_schedule_deviates_by_less_than_a_block(spark, weights):
         assert all(abs(seen[s] - t * w) < 1 for s, w in share.items())
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.61, "b": 0.3, "c": 0.09}, {f"s{i}": (i + 1) ** 0.7 for i in range(9)}, {"a": 1, "b": 1, "c": 5}])
+def test_schedule_beyond_one_part(spark, weights):
+    """Parts give the slots of one long schedule, less than a block from exact shares over all of it."""
+    whole = mixing.whole_weights(mixing.given_weights(spark, weights), 64).cache()
+    blocks = spark.createDataFrame([(s, max(1, int(900 * w / sum(weights.values())))) for s, w in weights.items()], "source string, blocks long")
+    found = mixing.whole_schedule(whole, blocks, 64).orderBy("slot").collect()
+    assert len(found) == sum(r.blocks for r in blocks.collect()) > 10 * 64
+    known = {r.source: r.blocks for r in blocks.collect()}
+    long = mixing.schedule(whole, blocks, 4000).collect()
+    assert [(r.source, r.turn, r.slot) for r in found] == sorted(((r.source, r.turn, r.slot) for r in long if r.turn < known[r.source]), key=lambda r: r[2])
+    w = {r.source: r.w for r in whole.collect()}
+    for r in found:  # block j of a source lies in its window
+        assert r.turn * sum(w.values()) // w[r.source] <= r.slot < -(-(r.turn + 1) * sum(w.values()) // w[r.source])
+
+
+def test_documents_beyond_one_part_keep_their_shares(spark):
+    rows = [(i, "abcaaaab"[i % 8]) for i in range(1600)]
+    weights = {"a": 0.6131, "b": 0.2763, "c": 0.1106}
+    found = mixed(spark, rows, weights, block=2, limit=64).select("source", "mix.slot").distinct().collect()
+    last = min(max(r.slot for r in found if r.source == s) for s in weights)
+    assert last > 64 * 5
+    seen = Counter()
+    for slot, source in sorted((r.slot, r.source) for r in found if r.slot <= last):
+        seen[source] += 1
+        assert all(abs(seen[s] - (slot + 1) * w) < 1 + 1e-4 for s, w in weights.items())
+
+
 def test_schedule_ends_with_the_slowest_source(spark):
     whole = mixing.whole_weights(mixing.given_weights(spark, {"a": 3, "b": 1}))
     blocks = spark.createDataFrame([("a", 30), ("b", 40)], "source string, blocks long")
