@@ -2,74 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .ingest import with_watermark
 
-STATE = "windows array<struct<start:bigint,counts:array<bigint>>>, watched bigint"
-
-
-class _Windows(StatefulProcessor):
-    """Counts of the windows that are open or still part of a baseline.
-
-    One value per entity. A timer at the end of each open window emits it, with the counts of the
-    windows before as its baseline, once the watermark is past it; windows older than the baseline
-    go, and after the last one the entity has no state any more. So the state of an entity that stays away
-    lives ``trailing`` windows longer, in event time.
-    """
-
-    def __init__(self, size: int, trailing: int, factor: float, least: int, keys: Sequence[str], names: Sequence[str]):
-        self.size, self.trailing, self.factor, self.least = size, trailing, factor, least
-        self.names, self.kinds = list(names), len(names)
-        self.columns = [*keys, "start_ms", *names, "baseline", "burst"]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("windows", STATE)
-
-    def _load(self) -> dict[int, list[int]]:
-        if not self.state.exists():
-            return {}
-        return {int(w[0]): [int(x) for x in w[1]] for w in self.state.get()[0]}
-
-    def _save(self, windows: dict[int, list[int]]) -> None:
-        if windows:
-            self.state.update(([(start, windows[start]) for start in sorted(windows)], len(windows)))
-        else:
-            self.state.clear()
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        windows = self._load()
-        newest = max(windows, default=-1)
-        for row in rows:
-            start = row.start_ms
-            if start not in windows:
-                self.handle.registerTimer(start + self.size)  # the window ends
-            windows[start] = [a + row[n] for a, n in zip(windows.get(start, [0] * self.kinds), self.names)]
-        if max(windows) > newest:
-            self.handle.registerTimer(max(windows) + self.size * (self.trailing + 1))  # no baseline needs any of them then
-        self._save(windows)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        windows, start = self._load(), at - self.size
-        out = []
-        if start in windows:
-            first = start - self.trailing * self.size
-            before = sum(c[0] for s, c in windows.items() if first <= s < start)
-            counts = windows[start]
-            burst = counts[0] >= self.least and counts[0] * self.trailing >= self.factor * before
-            out.append(Row(*self.columns)(*key, start, *counts, before / self.trailing, burst))
-        kept = {s: c for s, c in windows.items() if s + self.size * (self.trailing + 1) > at}
-        if len(kept) < len(windows):
-            self._save(kept)
-        return iter(out)
-
 
 def burst_windows(
     df: DataFrame, keys: Sequence[str], ts: str, counts: dict, minutes: int = 30, trailing: int = 4,
@@ -79,16 +18,26 @@ def burst_windows(
 
     ``counts`` maps a name to a condition; the first one is watched. A window is a burst when that count is at
     least ``least`` and ``factor`` times the baseline; windows without rows count 0 in it. A window is emitted
-    once, when the watermark is past its end. Needs the RocksDB state store. NULL keys take no part.
+    once, when the watermark is past its end. NULL keys take no part.
+
+    One aggregation over sliding windows that hold a window and the ``trailing`` ones before it, and end with it: its
+    state are sums, combined before the shuffle, and go when the watermark is past their end. Only rows that the
+    baseline counts go into windows other than their own.
     """
-    size = minutes * 60_000
     keys, names = list(keys), list(counts)
     rows = with_watermark(df.dropna(subset=[*keys, ts]), ts, lateness)
-    millis = F.unix_millis(ts)
-    slim = rows.select(*keys, ts, (millis - F.pmod(millis, F.lit(size))).alias("start_ms"), *[F.coalesce(c.cast("bigint"), F.lit(0)).alias(n) for n, c in counts.items()])
-    kinds = ", ".join(f"{k} {slim.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{kinds}, start_ms bigint, {', '.join(f'{n} bigint' for n in names)}, baseline double, burst boolean"
-    found = slim.groupBy(*keys).transformWithState(
-        _Windows(size, trailing, factor, least, keys, names), schema, "append", "eventTime"
+    slim = rows.select(*keys, F.col(ts).alias("_at"), *[F.coalesce(c.cast("bigint"), F.lit(0)).alias(n) for n, c in counts.items()])
+    length, slide = f"{minutes * (trailing + 1)} minutes", f"{minutes} minutes"
+    placed = slim.withColumn("_window", F.window("_at", length, slide))
+    placed = placed.withColumn("_own", F.col("_at") >= F.col("_window.end") - F.expr(f"INTERVAL {slide}"))
+    own = lambda n: F.coalesce(F.sum(F.when(F.col("_own"), F.col(n))), F.lit(0))
+    sums = placed.filter(F.col("_own") | (F.col(names[0]) != 0)).groupBy(*keys, "_window").agg(
+        F.count_if("_own").alias("_rows"), *[own(n).alias(n) for n in names],
+        F.coalesce(F.sum(F.when(~F.col("_own"), F.col(names[0]))), F.lit(0)).alias("_before"),
+    )
+    watched = F.col(names[0])
+    return sums.filter("_rows > 0").select(
+        *keys, (F.col("_window.end") - F.expr(f"INTERVAL {slide}")).alias("window_start"), *names,
+        (F.col("_before").cast("double") / trailing).alias("baseline"),
+        ((watched >= least) & (watched * trailing >= F.col("_before") * F.lit(float(factor)))).alias("burst"),
     )
-    return found.select(*keys, F.timestamp_millis("start_ms").alias("window_start"), *names, "baseline", "burst")

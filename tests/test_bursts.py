@@ -55,6 +55,20 @@ def test_bursts_over_batches_and_a_restart(spark, tmp_path):
     assert 0 < early < len(got) and sorted(got) == sorted(want) and any(w[5] for w in want)
 
 
+def test_bursts_are_one_aggregation(spark, tmp_path):
+    """A batch frame gives all windows, and no row goes through Python."""
+    rows = [("a", T0 + dt.timedelta(minutes=m), k) for m, k in ((0, "view"), (9, "view"), (12, "cart"), (31, "view"), (32, "view"), (33, "view"), (75, "view"))]
+    df = spark.createDataFrame([*rows, (None, T0, "view"), ("a", None, "view"), ("b", T0, None)], EVENTS)
+    counts = {"views": F.col("kind") == "view", "carts": F.col("kind") == "cart"}
+    found = burst_windows(df, ["who"], "at", counts, minutes=10, trailing=3, factor=2.0, least=3)
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    want = {("a", at(0), 2, 0, 0.0, False), ("a", at(10), 0, 1, 2 / 3, False), ("a", at(30), 3, 0, 2 / 3, True), ("a", at(70), 1, 0, 0.0, False), ("b", at(0), 0, 0, 0.0, False)}
+    got = found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan
+
+
 def test_unmatched_rows_once_and_hot_key(spark, tmp_path):
     rng = random.Random(3)
     orders = [(i, "hot" if i % 3 else f"k{i % 7}", T0 + dt.timedelta(seconds=i * 20)) for i in range(400)]
