@@ -8,6 +8,7 @@ from lakeloom.operators import inject
 from lakeloom.operators.aggregates import dup_rate, rate, row_counts, share_of_top, top_k
 from lakeloom.operators.drift import psi
 from lakeloom.plans import checks, profile
+from lakeloom.queries.quality import reproducible
 
 T0 = dt.datetime(2025, 1, 1)
 
@@ -103,3 +104,13 @@ def test_psi(spark):
     assert not psi(base, base.filter("v > 5000"), "v", alert=100).first().drifted
     sketched = psi(base, base.filter("v > 5000"), "v", exact=False).first()
     assert sketched.psi == pytest.approx(moved.psi, rel=0.05)
+
+
+def test_reproducible_has_no_fixed_number_of_tasks(spark, tmp_path):
+    rows = [(i // 3, i % 3 + 1, i % 7, 1.5 * i, 0.1, float(i % 5), dt.datetime(2025, 1, 1 + i % 9)) for i in [*range(300), *range(50)]]
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_extendedprice double, l_discount double, l_quantity double, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = reproducible(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" not in found._jdf.queryExecution().toString()
+    row = found.first()
+    assert row.passed and row.rows == 300
