@@ -37,6 +37,7 @@ from ..session import shared_dir
 from ..sources.writers import staged
 from .common import unused
 from .components import components
+from .jaccard import fingerprint
 from .nodes import Nodes, text_hash
 from .shingles import _RNG, _STEP, WORDS, _mixed, shingle_hashes, words
 from .verify import confirmed, slices
@@ -46,6 +47,7 @@ BANDS, ROWS, BITS = 32, 4, 2
 PERMUTATIONS = BANDS * ROWS
 MARGIN = 0.22  # nearly five standard errors of the estimate at the threshold
 BLOCK = 512  # members of a bucket side by side in one block
+CELLS = 1 << 14  # of a fingerprint, at most
 Texts = Callable[[DataFrame], DataFrame]  # texts of the given nodes
 
 _XOR = _RNG.randint(0, 2**63, PERMUTATIONS).astype(np.uint64)[:, None]
@@ -162,13 +164,37 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.join(keys, "key")
 
 
+def prints(leveled: DataFrame, step: float) -> DataFrame:
+    """``rep``, ``level`` and ``print`` of ``leveled (rep, level, text)``, for its level and the one above.
+
+    The fingerprint has one byte per cell of the shingle hashes. Unequal bytes mean a shingle that only one of the
+    two sets has, so sets differ by at least as many shingles as cells. There are two to four cells for
+    each shingle of the level, at most ``CELLS``.
+    """
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                out = []
+                for rep, level, text in zip(*(c.to_pylist() for c in part.columns)):
+                    h = shingle_hashes(words(text))
+                    for above in (level, level + 1):
+                        cells = min(CELLS, 2 << int(np.exp(step * (above + 1))).bit_length())
+                        out.append((rep, above, fingerprint(h, cells).tobytes()))
+                kinds = (pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["rep", "level", "print"])
+
+    return leveled.select("rep", "level", "text").mapInArrow(of, "rep bigint, level int, print binary")
+
+
 def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts, similarity: Fraction) -> DataFrame:
     """Promising pairs in buckets that hold members of several components, apart from pairs with
     the smallest member, which have been looked at.
 
     Members are dealt by the logarithm of their set size, since similar sets have sizes within one
     step of each other, and large levels into blocks. Members meet within their level and with the
-    level below, block by block, so no task holds a whole bucket.
+    level below, block by block, so no task holds a whole bucket. A pair leaves its block only if the
+    fingerprints do not rule it out, which they do exactly; the estimate alone lets nearly all pairs of a
+    large group through whose texts are similar, but too little.
     """
     placed = buckets.filter("rep <> leader").join(labels, F.col("rep") == F.col("node"), "left")
     placed = _open(placed.select("key", "rep", F.coalesce("root", "rep").alias("root"))).checkpoint()
@@ -180,6 +206,9 @@ def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts,
         .withColumn("level", F.floor(F.ln("n") / step).cast("int"))
         .checkpoint()  # read by every kind of block below
     )
+    sized = members.select(F.col("rep").alias("node"), "level").distinct().checkpoint()
+    leveled = texts(sized.select("node")).join(sized, "node").select(F.col("node").alias("rep"), "level", "text")
+    marks = prints(leveled, step).checkpoint()
     ways = members.groupBy("key", "level").agg(F.ceil(F.count(F.lit(1)) / float(BLOCK)).cast("int").alias("ways"))
     ways = ways.checkpoint()
     mine = F.pmod(F.xxhash64("rep"), F.col("ways")).cast("int")
@@ -200,10 +229,11 @@ def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts,
         .join(ways, ["key", "level"])
         .select(*cols, F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("i"), "j", F.lit(2).alias("kind"))
     )
-    blocks = inside.unionByName(upper).unionByName(lower)
+    blocks = inside.unionByName(upper).unionByName(lower).join(marks, ["rep", "level"])
     group = ["key", "level", "i", "j", F.when(F.col("kind") == 0, 0).otherwise(1)]
     least = float(similarity) - MARGIN
     ratio = float(similarity)
+    p, q = similarity.numerator, similarity.denominator
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         lower_side = rows["kind"].to_numpy() == 2
@@ -211,8 +241,9 @@ def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts,
         right = rows[lower_side] if lower_side.any() else left
         signs_r = right[SIGNATURE].to_numpy().view(np.uint64)
         n_r, root_r, rep_r = (right[c].to_numpy() for c in ("n", "root", "rep"))
+        prints_r = np.frombuffer(b"".join(right["print"]), np.uint8).reshape(len(right), -1) if len(right) else None
         found = []
-        for n, root, rep, *sign in left[["n", "root", "rep", *SIGNATURE]].itertuples(index=False, name=None):
+        for n, root, rep, mark, *sign in left[["n", "root", "rep", "print", *SIGNATURE]].itertuples(index=False, name=None):
             x = signs_r ^ np.array(sign, dtype=np.int64).view(np.uint64)
             for b in range(1, BITS):
                 x = x | (x >> np.uint64(b))
@@ -220,7 +251,11 @@ def _rest(buckets: DataFrame, labels: DataFrame, signs: DataFrame, texts: Texts,
             chance = 2.0**-BITS
             fits = ((equal - chance) / (1 - chance) >= least) & (root_r != root)
             fits &= np.minimum(n_r, n) >= ratio * np.maximum(n_r, n) - 1e-6
-            found += [(min(rep, o), max(rep, o)) for o in rep_r[fits].tolist()]
+            at = np.flatnonzero(fits)
+            if len(at):
+                apart = np.count_nonzero(prints_r[at] != np.frombuffer(mark, np.uint8), axis=1)
+                near = at[apart * (p + q) <= (n_r[at] + n) * (q - p)]
+                found += [(min(rep, o), max(rep, o)) for o in rep_r[near].tolist()]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
 
     return blocks.groupBy(*group).applyInPandas(meet, "a bigint, b bigint").distinct()

@@ -77,6 +77,23 @@ def test_blocks_find_links_beyond_the_leader(spark, monkeypatch):
     assert judged(spark, rows) == brute(rows)
 
 
+def test_blocks_let_few_unlike_pairs_of_a_large_group_through(spark, monkeypatch):
+    """Variants of one text, similar by about 0.6: the pairs that leave the blocks do not grow with the square."""
+    seen, check = [], neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, *a: seen.append(pairs.count()) or check(pairs, *a))
+    base = [f"b{i}" for i in range(200)]
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        own = list(base)
+        for at in rng.sample(range(200), 5):
+            own[at] = f"d{i}x{at}"
+        rows.append((i, " ".join(own)))
+    rows += [(500, rows[7][1] + " end"), (501, rows[9][1] + " end")]
+    assert judged(spark, rows) == brute(rows)
+    assert sum(seen[1:]) < 400
+
+
 def test_repeated_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(30))
     frame = spark.createDataFrame([(5, text, "", ""), (5, text, "", ""), (None, text, "", ""), (9, text, "", "")], SCHEMA)
