@@ -1,4 +1,10 @@
-from lakeloom.plans.runner import Stage, lineage, retail_stages, run_stages
+import threading
+
+import pytest
+
+from lakeloom.operators.joins import order_totals
+from lakeloom.plans import gold, runner
+from lakeloom.plans.runner import Stage, at_a_time, lineage, retail_stages, run_stages
 from lakeloom.sources.writers import write_monthly, write_table
 
 from . import retail
@@ -42,3 +48,46 @@ def test_whole_run_twice(spark, tmp_path, rows):
     checks = spark.read.parquet(f"{lake}/gold/dq_results").collect()
     assert len(checks) == 5 and all(r.passed for r in checks)
     assert ("silver.orders", "gold.fact_orders", "gold") in [tuple(r) for r in lineage(spark, stages).collect()]
+
+
+def test_independent_tasks_run_beside_each_other():
+    meet = threading.Barrier(2, timeout=30)  # each task waits for the other
+    assert sorted(at_a_time({"a": meet.wait, "b": meet.wait}).values()) == [0, 1]
+
+
+def test_failure_of_one_task_waits_for_the_others():
+    failed, ended = threading.Event(), []
+
+    def fail():
+        failed.set()
+        raise RuntimeError("no good")
+
+    def slow():
+        assert failed.wait(30)
+        ended.append(1)
+
+    with pytest.raises(RuntimeError, match="no good"):
+        at_a_time({"fail": fail, "slow": slow})
+    assert ended == [1]
+
+
+def test_gold_sums_the_lines_once(spark, tmp_path, rows, monkeypatch):
+    tables = retail.tables(spark)
+    clean, sums = runner.build_silver(tables), []
+    for name, df in clean.items():
+        write_table(df, str(tmp_path / "silver" / name))
+
+    def spied(*args, **kwargs):
+        sums.append(1)
+        return order_totals(*args, **kwargs)
+
+    for module in (gold, runner):
+        monkeypatch.setattr(module, "order_totals", spied, raising=False)
+    stage = next(s for s in retail_stages(spark, dict.fromkeys(tables, ""), str(tmp_path)) if s.name == "gold")
+    written = stage.run()
+    assert len(sums) == 1
+    monkeypatch.undo()
+    for name, df in gold.build_gold(clean).items():
+        assert written[name] == df.count()
+        if name.startswith(("fact", "obt", "feat")):
+            assert rows(spark.read.parquet(str(tmp_path / "gold" / name)), *df.columns) == rows(df)
