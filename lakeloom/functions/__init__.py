@@ -20,6 +20,7 @@ from .columns import (
     padded_id,
     plus_seconds,
     seconds_between,
+    whole_cents,
 )
 
 __all__ = [
@@ -42,4 +43,5 @@ __all__ = [
     "padded_id",
     "plus_seconds",
     "seconds_between",
+    "whole_cents",
 ]

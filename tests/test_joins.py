@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.joins import (
+    all_whole,
     hot_keys,
     keys_without_rows,
     lookup,
@@ -87,6 +90,19 @@ def test_sizes_are_measured(spark):
     assert small_ones([]) == []
 
 
+def test_totals_of_whole_cents_are_those_of_decimals(spark, rows):
+    rng = random.Random(5)
+    cents = [rng.choice([1, 10, 10**4, 10**9]) * rng.randint(-9, 9) // rng.randint(1, 9) for _ in range(3000)]
+    lines = [(i % 700, c / 100) for i, c in enumerate(cents) if abs(c) <= 10**9] + [(1, None), (9999, None), (None, 0.05), (9998, -0.04)]
+    items = spark.createDataFrame(lines, "o long, v double")
+    assert all_whole(items, "v") and all_whole(items.filter("false"), "v")
+    for places in (0, 1, 2):
+        assert rows(order_totals(items, "o", "v", places, whole=True)) == rows(order_totals(items, "o", "v", places))
+    for odd in (0.004, 1e7 + 0.01, 1e300, 0.1 + 0.2, float("nan"), float("inf"), float("-inf")):
+        assert not all_whole(items.limit(1).union(spark.createDataFrame([(1, odd)], "o long, v double")), "v"), odd
+    assert not all_whole(items.selectExpr("o", "CAST(v AS DECIMAL(20,2)) AS v"), "v")
+
+
 def test_order_totals(spark, rows):
     items = spark.createDataFrame([("a", 1.15), ("a", 2.1), ("b", 0.05)], "o string, v double")
     assert rows(order_totals(items, "o", "v")) == [("a", 2, 3.3), ("b", 1, 0.1)]
